@@ -29,9 +29,14 @@ def day_key(c: Column | str) -> Column:
     return F.left(digits, F.lit(8)).try_cast("int")
 
 
+def day_text(c: Column | str) -> Column:
+    """The first eight characters of a day."""
+    return F.substring(_col(c).cast("string"), 1, 8)
+
+
 def parse_day(c: Column | str) -> Column:
     """First eight characters read as yyyyMMdd; null where they are no date."""
-    return F.try_to_date(F.substring(_col(c).cast("string"), 1, 8), "yyyyMMdd")
+    return F.try_to_date(day_text(c), "yyyyMMdd")
 
 
 def parse_ts(c: Column | str) -> Column:

@@ -64,25 +64,40 @@ def dense_ids(
     )
 
 
-def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, name: str) -> DataFrame:
+def prefix_sum(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    amount: str,
+    name: str,
+    total: str | None = None,
+    slice_name: str | None = None,
+) -> DataFrame:
     """Running total of `amount` per key in the given order, over groups of any size.
 
     (keys, order) must identify a row. Totals run inside each range partition
-    and are shifted by the sum of the partitions before it.
+    and are shifted by the sum of the partitions before it. On request `total`
+    adds the key's grand total, and `slice_name` keeps the partition number:
+    (slice, keys) are evenly sized groups, to join on instead of hot keys.
     """
     rows = _range_sorted(df, [*keys, *order])
     inside = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     sizes = rows.groupBy("_part", *keys).agg(F.sum(amount).alias("_n"))
     # At most one row per partition and key.
-    before = (
-        Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*(keys or [F.lit(0)]))
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "_part",
+        *keys,
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(whole).alias("_total"),
     )
-    offsets = sizes.select("_part", *keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    running = rows.withColumn(name, F.sum(amount).over(inside))
-    return (
-        running.join(offsets, ["_part", *keys])
-        .withColumn(name, F.col(name) + F.col("_before"))
-        .drop("_part", "_pos", "_before")
+    running = rows.withColumn(name, F.sum(amount).over(inside)).join(offsets, ["_part", *keys])
+    return running.select(
+        *df.columns,
+        (F.col(name) + F.col("_before")).alias(name),
+        *([F.col("_total").alias(total)] if total else []),
+        *([F.col("_part").alias(slice_name)] if slice_name else []),
     )
 
 

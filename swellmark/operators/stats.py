@@ -102,37 +102,47 @@ def ols_band(
     seed: int = 0,
     keys: Sequence[str] | None = None,
     points: int = 100,
+    blocks: int = 65_536,
 ) -> DataFrame:
     """Bootstrap confidence band of the fitted line on an even grid: (x, lo, hi).
 
-    A row's weight in a replicate is a Poisson(1) draw hashed from the row's
-    `keys` (default: all columns), so no resampled copy of the data is made.
-    Rows turn into per-replicate moment sums on the map side, and only
-    `replicates` rows per task are shuffled.
+    Rows are hashed by `keys` (default: all columns) into blocks, which are
+    reduced to five sums each; a block's weight in a replicate is a Poisson(1)
+    draw. Few rows get a block each, which is the plain row bootstrap; many rows
+    share blocks at random, which estimates the same spread. So the draws are
+    bounded by blocks x replicates however long the table is.
     """
     a, b = paired(x, y)
     keys = list(keys or df.columns)
-    u = hash_uniform([*keys, "_rep"], seed)
-    weight = sum(((u > p).cast("int") for p in POISSON_STEPS), F.lit(0))
-    complete = df.select(*keys, a.alias("_x"), b.alias("_y")).where("_x is not null and _y is not null")
+    block = F.pmod(F.xxhash64(*keys), F.lit(blocks))
+    complete = df.select(block.alias("_block"), a.alias("_x"), b.alias("_y")).where(
+        "_x is not null and _y is not null"
+    )
     facts = _facts(
         complete.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"), F.avg("_x").alias("mean")),
         mean=F.col("mean"),
         grid=_grid(points),
     )
     # Sums are taken around the mean, so large x values do not cancel out.
-    drawn = (
+    sums = (
         complete.withColumn("_x", F.col("_x") - facts["mean"])
-        .select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("_rep"))
-        .select("_rep", "_x", "_y", weight.alias("_w"))
-        .where("_w > 0")
+        .groupBy("_block")
+        .agg(
+            F.count("*").cast("double").alias("n"),
+            F.sum("_x").alias("sx"),
+            F.sum("_y").alias("sy"),
+            F.sum(F.col("_x") * F.col("_x")).alias("sxx"),
+            F.sum(F.col("_x") * F.col("_y")).alias("sxy"),
+        )
     )
-    sums = drawn.groupBy("_rep").agg(
-        F.sum("_w").cast("double").alias("n"),
-        F.sum(F.col("_w") * F.col("_x")).alias("sx"),
-        F.sum(F.col("_w") * F.col("_y")).alias("sy"),
-        F.sum(F.col("_w") * F.col("_x") * F.col("_x")).alias("sxx"),
-        F.sum(F.col("_w") * F.col("_x") * F.col("_y")).alias("sxy"),
+    u = hash_uniform(["_block", "_rep"], seed)
+    weight = sum(((u > p).cast("int") for p in POISSON_STEPS), F.lit(0))
+    sums = (
+        sums.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("_rep"))
+        .withColumn("_w", weight)
+        .where("_w > 0")
+        .groupBy("_rep")
+        .agg(*[F.sum(F.col("_w") * F.col(m)).alias(m) for m in ("n", "sx", "sy", "sxx", "sxy")])
     )
     slope = F.try_divide(
         F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"),
@@ -238,27 +248,18 @@ def density(
     )
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], c: str, probs: Sequence[float]) -> DataFrame:
-    """Linearly interpolated quantiles per group: keys, n, q_0, q_1, ...
+def _ranked(df: DataFrame, keys: Sequence[str], c: str) -> DataFrame:
+    """Distinct values per key with their count, their rank and the key's size.
 
-    Exact for groups of any size. Equal values are counted first, then a
-    distributed running total tells which value stands at which rank. No task
-    holds a whole group.
+    Equal values are counted first, then a distributed running total gives the
+    rank, so no task holds a whole group.
     """
-    keys = list(keys)
-    counts = (
-        df.select(*keys, without_nan(c).alias("_v"))
-        .where("_v is not null")
-        .groupBy(*keys, "_v")
-        .agg(F.count("*").alias("_n"))
-    )
-    return _quantiles_of(prefix_sum(counts, keys, ["_v"], "_n", "_upto"), keys, probs)
+    values = df.select(*keys, without_nan(c).alias("_v")).where("_v is not null")
+    counts = values.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+    return prefix_sum(counts, keys, ["_v"], "_n", "_upto", total="n", slice_name="_slice")
 
 
 def _quantiles_of(ranked: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    totals = ranked.groupBy(*keys).agg(F.max("_upto").alias("n"))
-    placed = ranked.join(totals, list(keys))
-
     def value_at(rank: Column) -> Column:
         inside = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
         return F.max(F.when(inside, F.col("_v")))
@@ -269,7 +270,15 @@ def _quantiles_of(ranked: DataFrame, keys: Sequence[str], probs: Sequence[float]
         picks += [value_at(F.floor(place)).alias(f"_lo{i}"), value_at(F.ceil(place)).alias(f"_hi{i}")]
         share = place - F.floor(place)
         out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * share).alias(f"q_{i}"))
-    return placed.groupBy(*keys, "n").agg(*picks).select(*keys, "n", *out)
+    return ranked.groupBy(*keys, "n").agg(*picks).select(*keys, "n", *out)
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], c: str, probs: Sequence[float]) -> DataFrame:
+    """Linearly interpolated quantiles per group: keys, n, q_0, q_1, ...
+
+    Exact for groups of any size.
+    """
+    return _quantiles_of(_ranked(df, list(keys), c), list(keys), probs)
 
 
 def box_stats(df: DataFrame, group: str = "Period", c: str = "Price", reach: float = 1.5) -> DataFrame:
@@ -278,20 +287,16 @@ def box_stats(df: DataFrame, group: str = "Period", c: str = "Price", reach: flo
     Whiskers end at the last value within `reach` interquartile ranges of the
     box, and never inside it.
     """
-    counts = (
-        df.select(group, without_nan(c).alias("_v"))
-        .where(F.col("_v").isNotNull() & F.col(group).isNotNull())
-        .groupBy(group, "_v")
-        .agg(F.count("*").alias("_n"))
-    )
-    ranked = prefix_sum(counts, [group], ["_v"], "_n", "_upto")
+    ranked = _ranked(df.where(F.col(group).isNotNull()), [group], c)
     boxes = _quantiles_of(ranked, [group], [0.25, 0.5, 0.75]).select(
-        group, "n", F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3")
+        group, F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3")
     )
+    # Hand the box to every slice of its group, then join slice by slice: a hot group stays split.
+    per_slice = ranked.select("_slice", group).distinct().join(boxes, group)
     span = (F.col("q3") - F.col("q1")) * F.lit(reach)
     inside = F.col("_v").between(F.col("q1") - span, F.col("q3") + span)
     return (
-        ranked.join(boxes, group)
+        ranked.join(per_slice, ["_slice", group])
         .groupBy(group, "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("_v"))).alias("_min"),

@@ -4,27 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORD_BREAK = r"[^\p{L}]+"
 
 
-def lexicon_score(text: Column | str, positive: Collection[str], negative: Collection[str]) -> Column:
-    """100 x (positive - negative) / words; null for a text without words.
+def with_lexicon_tone(
+    docs: DataFrame,
+    positive: Collection[str],
+    negative: Collection[str],
+    text: str = "text",
+    name: str = "Tone",
+) -> DataFrame:
+    """Add 100 x (positive - negative) / words; null for a text without words.
 
     The words of a text stay in its row, so a long or often copied text causes
     no shuffle. The word lists are arguments, hence small.
     """
-    lowered = F.lower(F.col(text) if isinstance(text, str) else text)
-    words = F.filter(F.split(lowered, WORD_BREAK), lambda w: w != "")
     good, bad = sorted(positive), sorted(negative)
-    balance = F.aggregate(
-        words,
-        F.lit(0),
-        lambda acc, w: acc + F.when(w.isin(good), 1).otherwise(0) - F.when(w.isin(bad), 1).otherwise(0),
-    )
-    return F.try_divide(F.lit(100.0) * balance, F.size(words))
+    words = docs.select("*", F.filter(F.split(F.lower(text), WORD_BREAK), lambda w: w != "").alias("_words"))
+    balance = F.size(F.filter("_words", lambda w: w.isin(good))) - F.size(F.filter("_words", lambda w: w.isin(bad)))
+    return words.withColumn(name, F.try_divide(F.lit(100.0) * balance, F.size("_words"))).drop("_words")
 
 
 def lexicon_tone(
@@ -34,5 +35,5 @@ def lexicon_tone(
     text: str = "text",
     key: str = "doc_id",
 ) -> DataFrame:
-    """The score of each document."""
-    return docs.select(key, lexicon_score(text, positive, negative).alias("Tone"))
+    """The tone of each document."""
+    return with_lexicon_tone(docs.select(key, text), positive, negative, text).select(key, "Tone")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swellmark.operators import cleaning, frames, gold, ordering, series, stats, upsample
-from swellmark.operators.tone import lexicon_score, lexicon_tone
+from swellmark.operators.tone import lexicon_tone, with_lexicon_tone
 from swellmark.plans import adapters as data
 from swellmark.plans.batch import news_from_exports
 from swellmark.session import scratch_path
@@ -287,7 +287,7 @@ def lexicon_tones(spark, d):
     AND regexp_matches(lower(d.text), '(^|[^\p{L}\p{N}])(only|for the|nicht|dans le)([^\p{L}\p{N}]|$)')"""
 )
 def match_news(spark, d):
-    docs = data.table(spark, d, "documents").withColumn("Tone", lexicon_score("text", POSITIVE, NEGATIVE))
+    docs = with_lexicon_tone(data.table(spark, d, "documents"), POSITIVE, NEGATIVE)
     kept = cleaning.match_news(docs, "text", PHRASES, max_tone=-0.5)
     return _rounded(kept.select("doc_id", "source", "Tone"), "Tone")
 

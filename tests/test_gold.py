@@ -111,3 +111,12 @@ def test_date_window_is_pushed_into_the_scan(spark, tmp_path):
 def test_period_labels(spark):
     df = spark.createDataFrame([(datetime(2023, 12, 31, 23),), (datetime(2024, 1, 1),)], "full_date timestamp_ntz")
     assert [r.Period for r in frames.with_period(df).orderBy("full_date").collect()] == ["Baseline (2023)", "Crisis (2024)"]
+
+
+def test_dates_are_parsed_after_the_aggregation(spark, tmp_path):
+    news(spark, [("20240101", -1.0)]).write.parquet(str(tmp_path / "n"))
+    stored = spark.read.schema(schemas.NEWS).parquet(str(tmp_path / "n"))
+    plan = gold.build_gold(spark.createDataFrame([], schemas.RATES), stored)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("partial_count") :]
+    assert "gettimestamp" in plan and "gettimestamp" not in below
+    assert "ReadSchema: struct<Day:string,Tone:double>" in plan
