@@ -12,7 +12,9 @@ from swellmark.operators.tone import lexicon_tone, with_lexicon_tone
 from swellmark.plans import adapters as data
 from swellmark.plans.batch import news_from_exports
 from swellmark.session import scratch_path
-from swellmark.sources.exports import read_raw_exports
+from swellmark.sources.exports import data_files, read_raw_exports
+from swellmark.sources.sinks import write_if_nonempty, write_news
+from swellmark.sources.tables import read_gold
 from swellmark.streaming.daily import stream_daily, stream_daily_dedup, stream_gold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,11 +23,11 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        QUERIES[name or fn.__name__] = fn
         if sql is not None:
-            ORACLE[fn.__name__] = sql
+            ORACLE[name or fn.__name__] = sql
         return fn
 
     return register
@@ -260,6 +262,46 @@ def ingest_exports(spark, d):
     return _rounded(news_from_exports(spark, _write_exports(spark, d)), "Tone")
 
 
+@query(
+    """SELECT CASE WHEN event_type = 'error' THEN 'date' WHEN event_type = 'signup' THEN 'url' ELSE 'tone' END AS reject_reason,
+         count(*) AS n
+  FROM events WHERE event_type IN ('error', 'signup') OR value < 20 GROUP BY 1"""
+)
+def reject_reasons(spark, d):
+    """Events with spoilt fields: errors lose their date, signups their url, small values their tone."""
+    raw = data.table(spark, d, "events").select(
+        F.when(F.col("event_type") == "error", "n/a").otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("Date"),
+        F.when(F.col("event_type") == "signup", "  ").otherwise(F.col("event_type")).alias("url"),
+        F.when(F.col("value") < 20, "low").otherwise((-F.col("value")).cast("string")).alias("AvgTone"),
+    )
+    _, rejects = cleaning.clean_news(raw, keep_rejects=True, tone_policy="drop")
+    return rejects.groupBy("reject_reason").agg(F.count("*").alias("n"))
+
+
+@query(
+    """SELECT CASE WHEN event_type IN ('view', 'click') THEN 'URL,Date,Tone' ELSE 'date,AvgTone,url' END AS header,
+         true AS is_data, count(*) AS n_rows
+  FROM events GROUP BY 1"""
+)
+def export_files(spark, d):
+    """Lines of the export files by header, without the header lines."""
+    files = data_files(spark, _write_exports(spark, d))
+    return files.groupBy("header", "is_data").agg(F.sum(F.col("n_lines") - 1).alias("n_rows"))
+
+
+@query(
+    _with(LONG_NEWS)
+    + """SELECT GlobalEventID, day_s AS "Day", round(Tone, 6) AS Tone FROM news
+  WHERE CAST(try_strptime(day_s, '%Y%m%d') AS DATE) BETWEEN DATE '1996-10-19' AND DATE '1997-02-08'"""
+)
+def stored_news(spark, d):
+    """News written by month, then read back for a study window that prunes months."""
+    path = scratch_path(spark, "news")
+    write_news(data.long_news(spark, d), path)
+    kept = cleaning.study_window(spark.read.parquet(path), "1996-10-19", "1997-02-08")
+    return _rounded(kept.select("GlobalEventID", "Day", "Tone"), "Tone")
+
+
 POSITIVE = ("with", "for", "only", "pour", "para", "und")
 NEGATIVE = ("that", "this", "than", "nicht", "avec", "dans", "not")
 PHRASES = ("only", "for the", "nicht", "dans le")
@@ -275,7 +317,7 @@ tones AS (
   FROM words)"""
 
 
-@query(_with(_WORDS) + "SELECT doc_id, round(Tone, 6) AS Tone FROM tones")
+@query(_with(_WORDS) + "SELECT doc_id, round(Tone, 6) AS Tone FROM tones", name="lexicon_tone")
 def lexicon_tones(spark, d):
     return _rounded(lexicon_tone(data.table(spark, d, "documents"), POSITIVE, NEGATIVE), "Tone")
 
@@ -317,7 +359,8 @@ def daily_spine(spark, d):
 @query(
     _with(SHORT_NEWS, SHORT_WEEKLY, DAILY, HOURLY, GOLD)
     + """SELECT full_date, round(Price, 6) AS Price, news_count, round(avg_conflict_score, 6) AS avg_conflict_score
-  FROM gold"""
+  FROM gold""",
+    name="gold",
 )
 def gold_hourly(spark, d):
     return _rounded(data.short_gold(spark, d), "Price", "avg_conflict_score")
@@ -332,6 +375,24 @@ def gold_by_route(spark, d):
     return _rounded(data.long_gold(spark, d), "Price", "avg_conflict_score", digits=4)
 
 
+@query(
+    _with(LONG_NEWS, LONG_WEEKLY, DAILY, HOURLY, GOLD)
+    + """SELECT full_date, round(Price, 4) AS Price, news_count, round(avg_conflict_score, 4) AS avg_conflict_score
+  FROM gold ORDER BY full_date"""
+)
+def stored_gold(spark, d):
+    """Gold written if not empty, then read back in order."""
+    path = scratch_path(spark, "gold")
+    write_if_nonempty(data.long_gold(spark, d), path)
+    return _rounded(read_gold(spark, path), "Price", "avg_conflict_score", digits=4)
+
+
+@query()
+def noisy_rates(spark, d):
+    """Jittered prices: no SQL twin, the draws come from Spark's hash."""
+    return upsample.upsample_rates(data.long_weekly(spark, d), noise_sd=5.0, seed=1)
+
+
 @query(SHORT + "SELECT full_date, Price, news_count, avg_conflict_score, Risk_Score FROM frame")
 def analysis_frame(spark, d):
     return data.short_frame(spark, d)
@@ -641,13 +702,13 @@ def _drain(stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{out}/data")
 
 
-@query(_CLOSED_DAYS)
+@query(_CLOSED_DAYS, name="stream_daily")
 def stream_days(spark, d):
     days = _drain(stream_daily(_event_stream(spark, d)))
     return _dates_as_text(_rounded(days, "avg_conflict_score"), "event_date")
 
 
-@query(_CLOSED_DAYS)
+@query(_CLOSED_DAYS, name="stream_dedup")
 def stream_days_dedup(spark, d):
     """Every event arrives twice; each is counted once."""
     twice = _event_stream(spark, d).union(_event_stream(spark, d))
@@ -659,7 +720,8 @@ def stream_days_dedup(spark, d):
     _with(SHORT_WEEKLY, HOURLY)
     + f""", {_CLOSED}
   SELECT h."Date" AS full_date, round(h.Price, 6) AS Price, c.news_count, round(c.avg_conflict_score, 6) AS avg_conflict_score
-  FROM hourly h JOIN closed c ON CAST(h."Date" AS DATE) = c.event_date"""
+  FROM hourly h JOIN closed c ON CAST(h."Date" AS DATE) = c.event_date""",
+    name="stream_gold",
 )
 def stream_gold_days(spark, d):
     """Closed days joined to hourly prices, stored day by day."""

@@ -7,7 +7,7 @@ from oracle import compare
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 #: Checked on the larger tables too.
-WIDE = ["gold_hourly", "kpi_dates", "box_stats", "lag_scan", "ingest_exports", "lexicon_tones", "stream_days"]
+WIDE = ["gold", "kpi_dates", "box_stats", "lag_scan", "ingest_exports", "lexicon_tone", "stream_daily"]
 
 
 def test_entry(spark):
@@ -18,7 +18,7 @@ def test_entry(spark):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"ols_band"}
+    assert set(QUERIES) - set(SQL) == {"ols_band", "noisy_rates"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -34,3 +34,12 @@ def test_agrees_with_sql_on_more_rows(spark, name):
 def test_ols_band_encloses_the_fit(spark):
     band = QUERIES["ols_band"](spark, SF_SMALL).toPandas()
     assert len(band) == 100 and (band.lo <= band.hi).all()
+
+
+def test_noise_moves_prices_by_its_deviation(spark):
+    pairs = QUERIES["noisy_rates"](spark, SF_SMALL).join(
+        QUERIES["hourly_rates_multi"](spark, SF_SMALL).withColumnRenamed("Price", "clean"), ["Date", "Route"]
+    )
+    row = pairs.selectExpr("count(*) as n", "stddev(Price - clean) as sd", "avg(Price - clean) as mean").first()
+    assert row.n == QUERIES["hourly_rates_multi"](spark, SF_SMALL).count()
+    assert abs(row.sd - 5.0) < 0.05 and abs(row.mean) < 0.05
