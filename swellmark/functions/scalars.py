@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 #: What a tone may look like. Guards `try_cast`, which also takes '1.5d' and the like.
 NUMBER = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))\s*$"
 
+#: Signs trimmed from urls and headers.
+BLANKS = " \t\n\r\x0b\x0c\x85\xa0"
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -23,6 +26,11 @@ def first_non_empty(columns: Sequence[Column | str]) -> Column:
     return F.coalesce(*[F.nullif(_col(c), F.lit("")) for c in columns])
 
 
+def stripped(c: Column | str) -> Column:
+    """Without blanks of any kind at both ends."""
+    return F.trim(_col(c), F.lit(BLANKS))
+
+
 def day_key(c: Column | str) -> Column:
     """Digits only, then the first eight, as an integer; null where none are left."""
     digits = F.regexp_replace(_col(c), "[^0-9]", "")
@@ -47,7 +55,7 @@ def parse_ts(c: Column | str) -> Column:
 def parse_tone(c: Column | str) -> Column:
     """Text to double; null where it is no plain number."""
     text = _col(c)
-    return F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
+    return F.when(text.rlike(NUMBER), stripped(text).try_cast("double"))
 
 
 def conflict_intensity(c: Column | str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swellmark import fixed
-from swellmark.functions.scalars import day_key, first_non_empty, hash_normal, parse_day, parse_tone
+from swellmark.functions.scalars import day_key, first_non_empty, hash_normal, parse_day, parse_tone, stripped
 
 NEWS_COLUMNS = ("Day", "Country", "Tone", "SourceURL")
 
@@ -69,7 +69,7 @@ def clean_news(
     """
     if "raw_date" not in raw.columns:
         raw = with_aliases(normalize_headers(raw))
-    url = F.trim("raw_url")
+    url = stripped("raw_url")
     judged = raw.select(
         *raw.columns,
         day_key("raw_date").alias("day"),

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swellmark import fixed
@@ -35,17 +35,30 @@ def step_micros(step: str) -> int:
     return size
 
 
-def _micros(ts: str) -> Column:
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+#: Longest run of grid points generated from one row at a time.
+RUN = 100_000
 
 
-def _cell(us: Column, size: int) -> Column:
+def _micros(ts: str) -> str:
+    return f"unix_micros(cast(`{ts}` as timestamp))"
+
+
+def _cell(us: str, size: int) -> str:
     """Number of the grid step a time falls into; whole-number arithmetic, also before 1970."""
-    return F.call_function("div", us - F.pmod(us, F.lit(size)), F.lit(size))
+    return f"({us} - pmod({us}, {size}L)) div {size}L"
+
 
+def _grid_points(spans: DataFrame, size: int) -> DataFrame:
+    """One row per grid number from lo to hi, with its time `us`.
+
+    Long spans are cut into runs first, so no row holds an array of unbounded length.
+    """
+    runs = spans.selectExpr("*", f"explode(sequence(lo, hi, {RUN}L)) as run")
+    points = runs.selectExpr("*", f"explode(sequence(run, least(hi, run + {RUN - 1}L))) as point")
+    return points.selectExpr("*", f"point * {size}L as us")
 
-def _grid_time(index: Column, size: int) -> Column:
-    return F.timestamp_micros(index * F.lit(size)).cast("timestamp_ntz")
+
+GRID_TIME = "cast(timestamp_micros(us) as timestamp_ntz)"
 
 
 def _require_utc(df: DataFrame) -> None:
@@ -97,78 +110,59 @@ def upsample_linear(
     """
     _require_utc(df)
     size = step_micros(step)
-    keys = list(keys)
-    at = _micros(ts)
-
-    anchors = unique_anchors(df, ts, val, keys, duplicates, last_by).select(
-        *keys,
-        _cell(at, size).alias("cell"),
-        F.when(F.col(val).isNotNull(), at).alias("anchor_at"),
-        F.col(val).alias("v"),
+    key = [f"`{k}`" for k in keys]
+
+    anchors = unique_anchors(df, ts, val, keys, duplicates, last_by).selectExpr(
+        *key, f"{_micros(ts)} as us", f"`{val}` as v", f"if(`{val}` is null, null, {_micros(ts)}) as anchor"
     )
-    cells = anchors.groupBy(*keys, "cell").agg(
-        F.min("anchor_at").alias("first_at"),
-        F.min_by("v", "anchor_at").alias("first_v"),
-        F.max("anchor_at").alias("last_at"),
-        F.max_by("v", "anchor_at").alias("last_v"),
+    cells = anchors.groupBy(*key, F.expr(_cell("us", size)).alias("cell")).agg(
+        F.min("anchor").alias("first_us"),
+        F.min_by("v", "anchor").alias("first_v"),
+        F.max("anchor").alias("last_us"),
+        F.max_by("v", "anchor").alias("last_v"),
     )
 
-    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    ordered = whole.orderBy("cell")
-    ranged = cells.select(
+    whole = "partition by " + (", ".join(key) or "0")
+    ordered = f"({whole} order by cell)"
+    # Cells without an anchor only stretch the grid; keep one if the key has nothing else.
+    ranged = cells.selectExpr(
         "*",
-        F.min("cell").over(whole).alias("grid_lo"),
-        F.max("cell").over(whole).alias("grid_hi"),
-        F.count("first_at").over(whole).alias("n_anchors"),
-    ).where(
-        # Cells without an anchor only stretch the grid; keep one if the key has nothing else.
-        F.col("first_at").isNotNull() | ((F.col("n_anchors") == 0) & (F.col("cell") == F.col("grid_lo")))
-    )
-    segments = ranged.select(
+        f"min(cell) over ({whole}) as grid_lo",
+        f"max(cell) over ({whole}) as grid_hi",
+        f"count(first_us) over ({whole}) as n_anchors",
+    ).where("first_us is not null or (n_anchors = 0 and cell = grid_lo)")
+    segments = ranged.selectExpr(
         "*",
-        F.lead("cell").over(ordered).alias("next_cell"),
-        F.lead("first_at").over(ordered).alias("next_at"),
-        F.lead("first_v").over(ordered).alias("next_v"),
-        (F.row_number().over(ordered) == 1).alias("is_first"),
-    ).select(
-        *keys,
-        "first_at", "first_v", "last_at", "last_v", "next_at", "next_v",
-        # This cell's own edge belongs to it when it is hit exactly, or when nothing comes before.
-        F.when(F.col("is_first"), F.col("grid_lo"))
-        .when(F.col("first_at") == F.col("cell") * size, F.col("cell"))
-        .otherwise(F.col("cell") + 1)
-        .alias("lo"),
-        F.when(F.col("next_cell").isNull(), F.col("grid_hi"))
-        .when(F.col("next_at") == F.col("next_cell") * size, F.col("next_cell") - 1)
-        .otherwise(F.col("next_cell"))
-        .alias("hi"),
+        f"lead(cell) over {ordered} as next_cell",
+        f"lead(first_us) over {ordered} as next_us",
+        f"lead(first_v) over {ordered} as next_v",
+        f"row_number() over {ordered} = 1 as is_first",
+    ).selectExpr(
+        *key,
+        "first_us", "first_v", "last_us", "last_v", "next_us", "next_v",
+        # A cell's own edge belongs to it when it is hit exactly, or when nothing comes before.
+        f"case when is_first then grid_lo when first_us = cell * {size}L then cell else cell + 1 end as lo",
+        f"case when next_cell is null then grid_hi when next_us = next_cell * {size}L then next_cell - 1"
+        " else next_cell end as hi",
     ).where("lo <= hi")
 
-    points = segments.select("*", F.explode(F.sequence("lo", "hi")).alias("idx"))
-    g = F.col("idx") * F.lit(size)
     if fill:
-        share = (g - F.col("last_at")) / (F.col("next_at") - F.col("last_at"))
-        between = F.col("last_v") + (F.col("next_v") - F.col("last_v")) * share
-        value = (
-            F.when(g == F.col("first_at"), F.col("first_v"))
-            .when(g >= F.col("last_at"), F.when(F.col("next_at").isNull(), F.col("last_v")).otherwise(between))
-        )
+        value = """case when us = first_us then first_v
+            when us >= last_us and next_us is null then last_v
+            when us >= last_us then last_v + (next_v - last_v) * ((us - last_us) / (next_us - last_us)) end"""
     else:
-        value = F.when(g == F.col("first_at"), F.col("first_v"))
-    return points.select(_grid_time(F.col("idx"), size).alias(ts), *keys, value.alias(val))
+        value = "if(us = first_us, first_v, null)"
+    return _grid_points(segments, size).selectExpr(f"{GRID_TIME} as `{ts}`", *key, f"{value} as `{val}`")
 
 
 def time_spine(df: DataFrame, ts: str = "Date", keys: Sequence[str] = ("Route",), step: str = "1 hour") -> DataFrame:
     """Every grid time from each key's first timestamp to its last."""
     _require_utc(df)
     size = step_micros(step)
-    cell = _cell(_micros(ts), size)
-    ends = df.where(F.col(ts).isNotNull()).groupBy(*keys).agg(F.min(cell).alias("lo"), F.max(cell).alias("hi"))
-    if not keys:
-        ends = ends.where(F.col("lo").isNotNull())
-    return ends.select(*keys, F.explode(F.sequence("lo", "hi")).alias("idx")).select(
-        *keys, _grid_time(F.col("idx"), size).alias(ts)
-    )
+    key = [f"`{k}`" for k in keys]
+    cell = F.expr(_cell(_micros(ts), size))
+    ends = df.where(F.col(ts).isNotNull()).groupBy(*key).agg(F.min(cell).alias("lo"), F.max(cell).alias("hi"))
+    return _grid_points(ends.where("lo is not null"), size).selectExpr(*key, f"{GRID_TIME} as `{ts}`")
 
 
 def add_noise(

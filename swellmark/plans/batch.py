@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swellmark import fixed, schemas
-from swellmark.operators.cleaning import clean_news
+from swellmark.operators.cleaning import clean_news, study_window
 from swellmark.operators.gold import build_gold
 from swellmark.operators.ordering import cap_per_group, dense_ids
 from swellmark.operators.upsample import upsample_rates
+from swellmark.session import size_shuffles
 from swellmark.sources.exports import read_raw_exports
 from swellmark.sources.sinks import write_if_nonempty, write_news, write_rates
 from swellmark.sources.tables import read_rates_csv, read_table
@@ -25,7 +26,9 @@ def news_from_exports(
     **cleaning,
 ) -> DataFrame:
     """Saved exports to the news table: clean, cap per day, number."""
-    news = clean_news(read_raw_exports(spark, exports, strict_sniff), **cleaning)
+    raw = read_raw_exports(spark, exports, strict_sniff)
+    size_shuffles(raw)
+    news = clean_news(raw, **cleaning)
     order = [F.col("SourceURL"), F.col("Tone")]
     if per_day is not None:
         news = cap_per_group(news, "Day", order, per_day)
@@ -51,10 +54,12 @@ def refresh(
     counts = {"news": write_news(news_from_exports(spark, exports, **news_options), f"{base}/news")}
     hourly = upsample_rates(read_rates_csv(spark, weekly_csv), route, noise_sd, seed)
     counts["rates"] = write_rates(hourly, f"{base}/rates")
-    gold = build_gold(
-        read_table(spark, f"{base}/rates", schemas.RATES),
-        read_table(spark, f"{base}/news", schemas.NEWS),
-        keep_route,
-    )
+    rates = read_table(spark, f"{base}/rates", schemas.RATES)
+    news = read_table(spark, f"{base}/news", schemas.STORED_NEWS)
+    first, last = rates.agg(F.to_date(F.min("Date")), F.to_date(F.max("Date"))).first()
+    if first is not None:
+        # The join would drop other days anyway; said beforehand, whole months are not read.
+        news = study_window(news, first.isoformat(), last.isoformat())
+    gold = build_gold(rates, news, keep_route)
     counts["gold"] = write_if_nonempty(gold, f"{base}/gold")
     return counts

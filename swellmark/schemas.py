@@ -15,6 +15,15 @@ NEWS = _struct(
     SourceURL=T.StringType(),
 )
 
+#: News as `write_news` stores it: the parsed day, and the month as partition column.
+STORED_NEWS = T.StructType(
+    [
+        *NEWS.fields,
+        T.StructField("event_date", T.DateType(), True),
+        T.StructField("event_month", T.IntegerType(), True),
+    ]
+)
+
 #: Weekly and hourly price tables share one shape.
 RATES = _struct(Date=T.TimestampNTZType(), Route=T.StringType(), Price=T.DoubleType())
 

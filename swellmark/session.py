@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime settings every entry point relies on.
 SETTINGS = {
@@ -16,13 +17,22 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+#: Settings that only a new session can take.
+STARTUP = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
+#: Input bytes per shuffle partition.
+SHUFFLE_BYTES = 128 * 1024 * 1024
+
+#: More partitions than this cost more in bookkeeping than they save.
+SHUFFLE_LIMIT = 200_000
+
 
 def build_session(app: str = "swellmark", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or reuse) a session; `conf` keys use '__' for '.'."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
+    for key, value in {**SETTINGS, **STARTUP, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -34,6 +44,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(df: DataFrame) -> int:
+    """Raise the number of shuffle partitions to what `df`, a plain scan, asks for.
+
+    Adaptive execution merges partitions that turn out small, but does not split
+    those of an aggregation. The session's own setting is the lower limit.
+    """
+    conf = df.sparkSession.conf
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = max(int(conf.get("spark.sql.shuffle.partitions")), min(math.ceil(size / SHUFFLE_BYTES), SHUFFLE_LIMIT))
+    conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: `spark.checkpoint.dir` of the session.
 
@@ -56,7 +79,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut(df):
+def cut(df: DataFrame) -> DataFrame:
     """Checkpoint `df` to the shared folder, so later steps see fixed rows.
 
     The written partitions keep their order, and a lost executor re-reads them

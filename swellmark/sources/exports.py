@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from swellmark import fixed
+from swellmark.functions.scalars import stripped
 from swellmark.operators.cleaning import clean_header, union_exports
 
 RAW = T.StructType(
@@ -40,8 +41,8 @@ def data_files(spark: SparkSession, paths: str | Sequence[str], strict_sniff: bo
         F.max(_has_any("value", fixed.SNIFF_MARKS)).alias("_marked"),
     )
     names = F.transform(
-        F.split(F.ltrim(F.regexp_replace("header", "^\\uFEFF+", "")), ","),
-        lambda h: F.trim(F.regexp_replace(F.trim(h), '^"|"$', "")),
+        F.split(F.regexp_replace("header", "^\\uFEFF+", ""), ","),
+        lambda h: stripped(F.regexp_replace(stripped(h), '^"+|"+$', "")),
     )
     dated = F.arrays_overlap(names, F.array(*[F.lit(a) for a in fixed.DATE_ALIASES]))
     return files.select(
@@ -71,8 +72,9 @@ def read_raw_exports(
     columns cannot swap between spellings. Only file names and headers come to
     the driver, which lists the files anyway to plan the scan.
     """
+    files = data_files(spark, paths, strict_sniff).where("is_data").select("header", "file_path")
     groups: dict[tuple[str, ...], list[str]] = {}
-    for row in data_files(spark, paths, strict_sniff).where("is_data").select("header", "file_path").toLocalIterator():
+    for row in files.collect():
         groups.setdefault(tuple(_header_names(row.header)), []).append(_local_form(row.file_path))
     if not groups:
         return spark.createDataFrame([], RAW)

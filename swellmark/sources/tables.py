@@ -42,7 +42,7 @@ def read_table(
         reader = spark.read.format(fmt).schema(schema).options(**dict(options or {}))
         return reader.load(name) if name else reader.load()
     if "/" in name:
-        return spark.read.schema(schema).parquet(name)
+        return spark.read.schema(schema).parquet(name).select(*schema.fieldNames())
     table = spark.table(name)
     return table.select(
         *[

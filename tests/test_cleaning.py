@@ -160,3 +160,10 @@ def test_study_window_is_inclusive(spark):
     assert kept.agg(F.min("event_date"), F.max("event_date"), F.count("*")).first()[2] == 113
     months = days.withColumn("event_month", cleaning.month_number(F.col("event_date")))
     assert cleaning.study_window(months).count() == 113
+
+
+def test_all_kinds_of_blanks_are_trimmed(spark):
+    raw = spark.createDataFrame(
+        [("20240101", "\t u \xa0\n", "\t-2\r"), ("20240101", "\t\n", "-1")], "Date string, URL string, Tone string"
+    )
+    assert [(r.SourceURL, r.Tone) for r in cleaning.clean_news(raw).collect()] == [("u", -2.0)]

@@ -150,3 +150,30 @@ def test_batch_job_without_new_matches_keeps_gold(spark, tmp_path, exports, week
 
 def test_news_without_cap(spark, exports):
     assert news_from_exports(spark, exports, per_day=None).count() == 3000
+
+
+def test_news_outside_the_rates_window_is_not_read(spark, tmp_path, exports, weekly_csv):
+    from swellmark.operators.gold import build_gold
+
+    base = str(tmp_path / "store")
+    Path(base).mkdir()
+    refresh(spark, exports, weekly_csv, base)
+    stored = tables.read_table(spark, f"{base}/news", schemas.STORED_NEWS)
+    assert stored.schema == schemas.STORED_NEWS
+    rates = tables.read_table(spark, f"{base}/rates", schemas.RATES)
+    plan = build_gold(rates, study_window(stored))._jdf.queryExecution().executedPlan().toString()
+    assert "event_month" in plan[plan.index("PartitionFilters: [isnotnull(event_month") :]
+
+
+def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
+    from swellmark import session
+
+    news(spark, [f"202401{d:02d}" for d in range(1, 29)] * 100).write.parquet(str(tmp_path / "n"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    stored = tables.read_table(spark, str(tmp_path / "n"), schemas.NEWS)
+    try:
+        assert session.size_shuffles(stored) == int(before)
+        monkeypatch.setattr(session, "SHUFFLE_BYTES", 1000)
+        assert session.size_shuffles(stored) > int(before)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
