@@ -77,8 +77,11 @@ def hash_normal(keys: Sequence[Column | str], mean: float, sd: float, seed: int
 
 
 def rounded(c: Column | str, digits: int = 2, half_even: bool = True) -> Column:
-    """Round for display. Half to even by default, half up on request."""
-    return (F.bround if half_even else F.round)(_col(c), digits)
+    """Round for display. By default scaled, ties to even, and scaled back, as numpy does."""
+    if half_even:
+        scale = F.lit(10.0**digits)
+        return F.rint(_col(c) * scale) / scale
+    return F.round(_col(c), digits)
 
 
 def without_nan(c: Column | str) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swellmark import fixed
-from swellmark.functions.scalars import hash_normal, without_nan
+from swellmark.functions.scalars import hash_normal, rounded, without_nan
 
 MICROS = {
     "second": 1_000_000,
@@ -176,7 +176,7 @@ def add_noise(
 ) -> DataFrame:
     """Jitter each price by N(0, noise_sd), then round. Same seed, same numbers."""
     jitter = hash_normal([*keys, ts], 0.0, noise_sd, seed)
-    return df.withColumn(val, F.bround(F.col(val) + jitter, digits))
+    return df.withColumn(val, rounded(F.col(val) + jitter, digits))
 
 
 def upsample_rates(

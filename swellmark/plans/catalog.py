@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from swellmark import schemas
 from swellmark.operators import cleaning, frames, gold, ordering, series, stats, upsample
 from swellmark.operators.tone import lexicon_tone, with_lexicon_tone
 from swellmark.plans import adapters as data
 from swellmark.plans.batch import news_from_exports
 from swellmark.session import scratch_path
 from swellmark.sources.exports import data_files, read_raw_exports
-from swellmark.sources.sinks import write_if_nonempty, write_news
-from swellmark.sources.tables import read_gold
+from swellmark.sources.sinks import write_csv, write_if_nonempty, write_news
+from swellmark.sources.tables import read_gold, read_news_csv, read_rates_csv, read_table
 from swellmark.streaming.daily import stream_daily, stream_daily_dedup, stream_gold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -289,6 +290,33 @@ def export_files(spark, d):
     return files.groupBy("header", "is_data").agg(F.sum(F.col("n_lines") - 1).alias("n_rows"))
 
 
+@query(
+    """SELECT CASE WHEN event_type IN ('view', 'click') THEN 'URL,Date,Tone' ELSE 'date,AvgTone,url' END AS header,
+         event_type IN ('view', 'click') AS is_data, count(*) AS n_rows
+  FROM events GROUP BY 1, 2"""
+)
+def export_files_strict(spark, d):
+    """As above, with files told from their text: only one of the two headers has a mark."""
+    files = data_files(spark, _write_exports(spark, d), strict_sniff=True)
+    return files.groupBy("header", "is_data").agg(F.sum(F.col("n_lines") - 1).alias("n_rows"))
+
+
+@query(_with(SHORT_NEWS) + """SELECT GlobalEventID, day_s AS "Day", Country, round(Tone, 6) AS Tone, SourceURL FROM news""")
+def news_csv(spark, d):
+    """News written as CSV and read back with the declared schema."""
+    path = scratch_path(spark, "news-csv")
+    write_csv(data.short_news(spark, d), path)
+    return _rounded(read_news_csv(spark, path), "Tone")
+
+
+@query(_with(LONG_WEEKLY) + """SELECT "Date", Route, round(Price, 6) AS Price FROM weekly""")
+def rates_csv(spark, d):
+    """Weekly prices written as CSV and read back with the declared schema."""
+    path = scratch_path(spark, "rates-csv")
+    write_csv(data.long_weekly(spark, d), path)
+    return _rounded(read_rates_csv(spark, path), "Price")
+
+
 @query(
     _with(LONG_NEWS)
     + """SELECT GlobalEventID, day_s AS "Day", round(Tone, 6) AS Tone FROM news
@@ -298,7 +326,7 @@ def stored_news(spark, d):
     """News written by month, then read back for a study window that prunes months."""
     path = scratch_path(spark, "news")
     write_news(data.long_news(spark, d), path)
-    kept = cleaning.study_window(spark.read.parquet(path), "1996-10-19", "1997-02-08")
+    kept = cleaning.study_window(read_table(spark, path, schemas.STORED_NEWS), "1996-10-19", "1997-02-08")
     return _rounded(kept.select("GlobalEventID", "Day", "Tone"), "Tone")
 
 
@@ -443,6 +471,19 @@ def kpi_formatted(spark, d):
     return stats.kpis(data.short_frame(spark, d), formatted=True)
 
 
+@query(
+    SHORT
+    + """SELECT coalesce('$' || format('{:,.0f}', max(Price)), '-') AS peak_price,
+  coalesce(format('{:,}', CAST(sum(news_count) AS BIGINT)), '-') AS total_events,
+  coalesce(format('{:.2f}', corr(Price, Risk_Score)), '-') AS correlation
+  FROM frame WHERE full_date > TIMESTAMP '2030-01-01 00:00:00'"""
+)
+def kpi_empty_window(spark, d):
+    """A window behind all data still gives one row."""
+    late = frames.filter_dates(data.short_frame(spark, d), "2030-01-02", "2030-01-31")
+    return stats.kpis(late, formatted=True, placeholder="-")
+
+
 @query(
     SHORT
     + """SELECT CAST(sum(n) AS BIGINT) AS total_events FROM (

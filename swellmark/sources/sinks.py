@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -41,10 +41,11 @@ def _swap(df: DataFrame, staged: str, target: str) -> None:
         fs.delete(old, True)
 
 
-def _staged_write(df: DataFrame, target: str, partition_by: Sequence[str], skip_empty: bool) -> int:
+def _staged_write(df: DataFrame, target: str, save: Callable[[DataFrame, str], None], skip_empty: bool = False) -> int:
+    """Write next to the target, count on the way, swap; returns the row count."""
     counted, seen = run_metrics(df, f"write-{uuid.uuid4().hex}")
     staged = f"{target}.staged-{uuid.uuid4().hex}"
-    counted.write.partitionBy(*partition_by).parquet(staged)
+    save(counted, staged)
     rows = seen.get["rows"]
     if skip_empty and rows == 0:
         fs, path = _file_system(df, staged)
@@ -54,6 +55,14 @@ def _staged_write(df: DataFrame, target: str, partition_by: Sequence[str], skip_
     return rows
 
 
+def _parquet(*partition_by: str) -> Callable[[DataFrame, str], None]:
+    return lambda df, path: df.write.partitionBy(*partition_by).parquet(path)
+
+
+def _csv(df: DataFrame, path: str) -> None:
+    df.write.csv(path, header=True, quote='"', escape='"')
+
+
 def write_news(df: DataFrame, target: str) -> int:
     """Replace the news table, partitioned by month; returns the row count.
 
@@ -62,12 +71,12 @@ def write_news(df: DataFrame, target: str) -> int:
     """
     day = parse_day("Day")
     dated = df.withColumn("event_date", day).withColumn("event_month", month_number(day))
-    return _staged_write(dated.hint("rebalance", "event_month"), target, ["event_month"], skip_empty=False)
+    return _staged_write(dated.hint("rebalance", "event_month"), target, _parquet("event_month"))
 
 
 def write_rates(df: DataFrame, target: str) -> int:
     """Replace the hourly price table; returns the row count."""
-    return _staged_write(df.select("Date", "Route", "Price"), target, [], skip_empty=False)
+    return _staged_write(df.select("Date", "Route", "Price"), target, _parquet())
 
 
 def write_if_nonempty(df: DataFrame, target: str) -> int:
@@ -75,7 +84,7 @@ def write_if_nonempty(df: DataFrame, target: str) -> int:
 
     The plan runs once: rows are counted while they are staged.
     """
-    return _staged_write(df, target, [], skip_empty=True)
+    return _staged_write(df, target, _parquet(), skip_empty=True)
 
 
 def write_jdbc(
@@ -101,6 +110,4 @@ def jdbc_write_options(url: str, table: str, column_types: str | None, batchsize
 
 def write_csv(df: DataFrame, path: str) -> int:
     """CSV with header line; returns the row count."""
-    counted, seen = run_metrics(df, f"csv-{uuid.uuid4().hex}")
-    counted.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
-    return seen.get["rows"]
+    return _staged_write(df, path, _csv)

@@ -1,6 +1,7 @@
 import math
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +67,15 @@ def test_rounding_modes(spark):
     assert df.select(scalars.rounded("x", half_even=False)).first()[0] == 0.13
 
 
+def test_rounding_equals_numpy(spark):
+    rng = np.random.default_rng(1)
+    values = np.append(rng.normal(0, 5000, 4000), rng.integers(-90000, 90000, 4000) / 1000)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i int, x double")
+    for digits in (0, 1, 2, 4):
+        got = [r[0] for r in df.orderBy("i").select(scalars.rounded("x", digits)).collect()]
+        assert got == list(np.round(values, digits))
+
+
 @pytest.mark.parametrize(
     "pairs, want",
     [
