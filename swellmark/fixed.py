@@ -1,7 +1,7 @@
 """Fixed values.
 
-These must equal the values users of the original tool get, so they are stated
-here as plain constants and nowhere else.
+Results depend on these, so they are stated here as plain constants and nowhere
+else.
 """
 
 # --- fixed values: raw export header spellings, first non-empty wins ---

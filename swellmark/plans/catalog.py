@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -727,19 +728,32 @@ def _event_stream(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@contextmanager
+def _state_by_cores(spark: SparkSession):
+    """No more state partitions than cores: each costs a state file per operator and batch."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(before), cores)))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def _drain(stream: DataFrame) -> DataFrame:
     """Run a stream over what is there, into files of the shared folder."""
     spark = stream.sparkSession
     out = scratch_path(spark, "stream")
-    (
-        stream.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", f"{out}/data")
-        .option("checkpointLocation", f"{out}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    with _state_by_cores(spark):
+        running = (
+            stream.writeStream.outputMode("append")
+            .format("parquet")
+            .option("path", f"{out}/data")
+            .option("checkpointLocation", f"{out}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        running.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{out}/data")
 
 
@@ -767,8 +781,8 @@ def stream_days_dedup(spark, d):
 def stream_gold_days(spark, d):
     """Closed days joined to hourly prices, stored day by day."""
     out = scratch_path(spark, "stream-gold")
-    stream_gold(
-        _event_stream(spark, d), data.short_hourly(spark, d), f"{out}/data", f"{out}/checkpoint"
-    ).awaitTermination()
+    events, prices = _event_stream(spark, d), data.short_hourly(spark, d)
+    with _state_by_cores(spark):
+        stream_gold(events, prices, f"{out}/data", f"{out}/checkpoint").awaitTermination()
     stored = spark.read.parquet(f"{out}/data").select("full_date", "Price", "news_count", "avg_conflict_score")
     return _rounded(stored, "Price", "avg_conflict_score")

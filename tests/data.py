@@ -2,6 +2,8 @@
 
 from datetime import date, timedelta
 
+from swellmark.fixed import ROUTE
+
 # --- fixed values: the weekly price fixture ---
 WEEK_PRICES = [
     1000, 1050, 1100, 1200, 1350, 1400, 1450, 1660, 2500,
@@ -9,5 +11,5 @@ WEEK_PRICES = [
 ]
 
 PRICES = [
-    (str(date(2023, 10, 19) + timedelta(weeks=i)), "Shanghai-Rotterdam", float(p)) for i, p in enumerate(WEEK_PRICES)
+    (str(date(2023, 10, 19) + timedelta(weeks=i)), ROUTE, float(p)) for i, p in enumerate(WEEK_PRICES)
 ]
