@@ -55,23 +55,32 @@ def bounds(df: DataFrame, ts: str = "full_date") -> DataFrame:
     return df.agg(F.min(ts).alias("min_date"), F.max(ts).alias("max_date"))
 
 
+def default_bounds(
+    df: DataFrame,
+    start: str = fixed.WINDOW_START,
+    end: str = fixed.WINDOW_END,
+    ts: str = "full_date",
+) -> DataFrame:
+    """The default window clamped to the dates the data has, one row: what a date picker shows."""
+    return df.agg(
+        F.greatest(F.lit(start).cast("date"), F.to_date(F.min(ts))).alias("start_date"),
+        F.least(F.lit(end).cast("date"), F.to_date(F.max(ts))).alias("end_date"),
+    )
+
+
 def default_window(
     df: DataFrame,
     start: str = fixed.WINDOW_START,
     end: str = fixed.WINDOW_END,
     ts: str = "full_date",
 ) -> DataFrame:
-    """The default window, clamped to the dates the data has.
+    """The rows of the default window.
 
-    The bounds are one scalar subquery: a min/max pass, no join.
+    No row lies outside the data's own dates, so clamping the window to them
+    (see `default_bounds`) selects the same rows. Without it, no pass for the
+    bounds is needed and the dates are pushed into the scan.
     """
-    ends = df.select(
-        F.struct(
-            F.greatest(F.lit(start).cast("date"), F.to_date(F.min(ts))).alias("lo"),
-            F.least(F.lit(end).cast("date"), F.to_date(F.max(ts))).alias("hi"),
-        )
-    ).scalar()
-    return df.where(F.to_date(ts).between(ends["lo"], ends["hi"]))
+    return filter_dates(df, start, end, ts)
 
 
 def trend(df: DataFrame) -> DataFrame:

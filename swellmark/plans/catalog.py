@@ -504,6 +504,15 @@ def default_window(spark, d):
     return frames.default_window(data.short_frame(spark, d)).select("full_date", "Price", "Risk_Score")
 
 
+@query(
+    SHORT
+    + """SELECT CAST(greatest(DATE '2023-11-15', CAST(min(full_date) AS DATE)) AS VARCHAR) AS start_date,
+  CAST(least(DATE '2024-01-31', CAST(max(full_date) AS DATE)) AS VARCHAR) AS end_date FROM frame"""
+)
+def default_bounds(spark, d):
+    return _dates_as_text(frames.default_bounds(data.short_frame(spark, d)), "start_date", "end_date")
+
+
 @query(LONG + "SELECT min(full_date) AS min_date, max(full_date) AS max_date FROM frame")
 def bounds(spark, d):
     return frames.bounds(data.long_frame(spark, d))

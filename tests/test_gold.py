@@ -86,6 +86,8 @@ def test_frame_filters_and_views(spark):
         datetime(2023, 11, 15), datetime(2023, 11, 19, 23),
     )
     assert frames.default_window(frame, "2023-01-01", "2023-11-11").count() == 48
+    assert frames.default_bounds(frame).first() == (date(2023, 11, 15), date(2023, 11, 19))
+    assert frames.default_bounds(frame, "2023-01-01", "2023-11-11").first() == (date(2023, 11, 10), date(2023, 11, 11))
     assert frames.default_window(frame, "2030-01-01", "2031-01-01").count() == 0
     assert frames.filter_dates(frame, "2023-11-12", "2023-11-13").count() == 48
     assert frames.filter_instants(frame, "2023-11-12", "2023-11-13").count() == 25
