@@ -45,8 +45,8 @@ HOT_SHARE = 64
 #: Sets looked at together when frequent shingles are noticed.
 HOT_BLOCK = 1024
 
-#: Rounds of stars at most, and the pairs per post below which the rest is matched in full.
-STARS, PAIRS_PER_POST = 4, 2
+#: Rounds of stars, and documents of a block of what they leave.
+STARS, TILE = 2, 128
 
 #: Frequency written for the last tier.
 HOT_RANK = 2**32 - 1
@@ -118,52 +118,78 @@ def _links(rows: DataFrame, summary: DataFrame, sets: DataFrame) -> DataFrame:
     prefixes = stored(prefixes.join(heads, ["s0", "s1"]).drop("s0", "s1"), "prefixes")
 
     posts = prefixes.select("doc", "n", "first", F.posexplode("prefix").alias("i", "token"))
-    posts = posts.select("token", "doc", "n", (F.col("first") + F.col("i")).alias("at"), F.col("doc").alias("component"))
+    posts = posts.select("token", "doc", "n", (F.col("first") + F.col("i")).alias("at"))
+    posts = _merged(posts).withColumn("component", F.col("doc"))
     links = []
     for turn in range(STARS + 1):
-        posts, pairs = _unsettled(posts, turn)
-        if turn == STARS or (turn and pairs <= PAIRS_PER_POST * posts.count()):
+        posts = _unsettled(posts, turn)
+        if turn == STARS:
             break
         links.append(stored(_verified(_stars(posts), prefixes), "links"))
         labels = components(_union(links)).withColumnRenamed("node", "doc")
         posts = posts.drop("component", "hub").join(labels, "doc", "left")
         posts = posts.withColumn("component", F.coalesce("component", "doc"))
 
-    # What remains: holders of one shingle in different components, all of them.
-    rest = posts.drop("hub")
-    other = rest.select(*(F.col(c).alias(f"o_{c}") for c in rest.columns))
-    pairs = rest.join(
-        other,
-        (F.col("token") == F.col("o_token"))
-        & F.expr(f"struct(n, doc) < struct(o_n, o_doc) and component <> o_component and {DENOMINATOR} * n >= {NUMERATOR} * o_n"),
+    return _union([*links, stored(_rest(posts.drop("hub"), prefixes), "links")])
+
+
+def _rest(posts: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """What the stars left: all pairs of different components that share a prefix shingle, in tiles.
+
+    Documents with the same most frequent shingle share a block, cut into blocks of
+    about TILE. Blocks meet if a shingle is in both. A document is in one block, so a
+    pair is verified once, in one product of incidence matrices; a tile gives back
+    links that join components, not pairs.
+    """
+    docs = posts.groupBy("doc").agg(
+        F.max("token").alias("key"), F.first("n").alias("n"), F.first("component").alias("component")
     )
-    pairs = pairs.groupBy(F.col("doc").alias("a"), F.col("o_doc").alias("b")).agg(
-        F.first("n").alias("na"), F.first("o_n").alias("nb"), F.min("at").alias("pa"), F.min("o_at").alias("pb")
+    sizes = docs.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    salt = F.expr(f"pmod(xxhash64(doc), cast(ceil(size / {TILE}) as bigint))")
+    docs = docs.join(sizes, "key").select("doc", "n", "component", F.xxhash64("key", salt).alias("block"))
+    docs = stored(docs, "blocks")
+    held = posts.join(docs.select("doc", "block"), "doc").select("token", "block").distinct()
+    pairs = held.join(held.withColumnRenamed("block", "other"), "token").where("block <= other")
+    pairs = stored(pairs.select("block", "other").distinct(), "block_pairs")
+    member = F.struct("doc", "n", "component", "tokens")
+    members = docs.join(prefixes.select("doc", "tokens"), "doc").groupBy("block").agg(F.collect_list(member).alias("docs"))
+    members = stored(members, "members")
+    tiles = pairs.join(members, "block").join(members.toDF("other", "others"), "other")
+    return tiles.mapInArrow(_tiles, "a long, b long")
+
+
+def _merged(posts: DataFrame) -> DataFrame:
+    """Shingles with the same holders propose the same pairs: one of them is enough, at its first place."""
+    held = posts.groupBy("token").agg(
+        F.struct(
+            F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("doc", F.lit(1))), F.bit_xor(F.xxhash64("doc", F.lit(2)))
+        ).alias("holders")
     )
-    # At most all that follows the first common prefix shingle is common too.
-    whole = NUMERATOR + DENOMINATOR
-    pairs = pairs.where(f"{whole} * least(na - pa, nb - pb) >= {NUMERATOR} * (na + nb)").drop("pa", "pb")
-    return _union([*links, stored(_verified(pairs, prefixes), "links")])
+    merged = posts.join(held.where("holders.c > 1"), "token").groupBy("holders", "doc")
+    return merged.agg(F.first("n").alias("n"), F.min("at").alias("at")).withColumnRenamed("holders", "token")
 
 
-def _unsettled(posts: DataFrame, turn: int) -> tuple[DataFrame, int]:
-    """The posts of shingles held in several components, each with its hub; and the pairs they would make."""
-    order = F.col("n") if turn == 0 else F.xxhash64(F.col("doc"), F.lit(turn))
+def _unsettled(posts: DataFrame, turn: int) -> DataFrame:
+    """The posts of shingles held in several components, each with its hub, another one each turn."""
+    order = F.xxhash64("doc", "token", F.lit(turn))
     tokens = posts.groupBy("token").agg(
-        F.min(F.struct(order.alias("order"), "doc", "n", "component")).alias("hub"),
+        F.min(F.struct(order.alias("order"), "doc", "n", "at", "component")).alias("hub"),
         F.min("component").alias("lo"),
         F.max("component").alias("hi"),
-        F.count(F.lit(1)).alias("c"),
     )
-    tokens = stored(tokens.where("lo < hi").select("token", "hub", "c"), "tokens")
-    pairs = tokens.agg(F.sum(F.expr("cast(c as double) * (c - 1) / 2"))).first()[0]
-    return stored(posts.join(tokens.drop("c"), "token"), "posts"), int(pairs or 0)
+    return stored(posts.join(tokens.where("lo < hi").select("token", "hub"), "token"), "posts")
 
 
 def _stars(posts: DataFrame) -> DataFrame:
-    """Each holder of a shingle against the shingle's hub only."""
+    """Each holder of a shingle against the shingle's hub only.
+
+    From a common shingle on, two sets share at most what follows it in either. If it
+    isn't their first common one, this may leave out a pair that `_rest` finds.
+    """
+    whole = NUMERATOR + DENOMINATOR
     near = posts.where(
         f"component <> hub.component and {DENOMINATOR} * least(n, hub.n) >= {NUMERATOR} * greatest(n, hub.n)"
+        f" and {whole} * least(n - at, hub.n - hub.at) >= {NUMERATOR} * (n + hub.n)"
     )
     flip = F.col("doc") < F.col("hub.doc")
     return near.select(
@@ -418,3 +444,44 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append(DENOMINATOR * common >= NUMERATOR * (na + nb - common))
         mask = pa.array(kept, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(len(batch)):
+            row = batch.slice(i, 1).to_pylist()[0]
+            a, b = _tile(row["docs"], row["others"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _tile(docs: list[dict], others: list[dict]) -> tuple[list[int], list[int]]:
+    """For each document a linked one of each component among `others` that isn't its own."""
+    sides = []
+    for side in (docs, others):
+        sets = [np.frombuffer(d["tokens"], np.uint64) for d in side]
+        sides.append((np.concatenate(sets), np.repeat(np.arange(len(side)), [len(x) for x in sets])))
+    known = np.intersect1d(sides[0][0], sides[1][0])
+    if not len(known):
+        return [], []
+    n_a, n_b = (np.array([d["n"] for d in side]) for side in (docs, others))
+    common = np.zeros((len(docs), len(others)))
+    for start in range(0, len(known), 1 << 14):  # bounded matrices, whatever the texts' lengths
+        part = known[start : start + (1 << 14)]
+        rows = []
+        for (tokens, doc), side in zip(sides, (docs, others)):
+            at = np.minimum(np.searchsorted(part, tokens), len(part) - 1)
+            hit = part[at] == tokens
+            matrix = np.zeros((len(side), len(part)), np.float32)
+            matrix[doc[hit], at[hit]] = 1
+            rows.append(matrix)
+        common += rows[0] @ rows[1].T
+    linked = DENOMINATOR * common >= NUMERATOR * (n_a[:, None] + n_b[None, :] - common)
+    own, other = (np.array([d["component"] for d in side]) for side in (docs, others))
+    linked &= own[:, None] != other[None, :]
+    a, b = [], []
+    for i in np.flatnonzero(linked.any(1)):
+        hits = np.flatnonzero(linked[i])
+        _, first = np.unique(other[hits], return_index=True)
+        for j in hits[first]:
+            a.append(docs[i]["doc"]), b.append(others[j]["doc"])
+    return a, b
