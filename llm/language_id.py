@@ -41,8 +41,9 @@ def learn(rows: DataFrame) -> tuple[list[str], np.ndarray]:
     counts[found["feature"].to_numpy(np.int64), found["lang"].map(at).to_numpy(np.int64)] = found["n"]
     grams, texts = counts[:-1] + SMOOTHING, counts[-1]
     model = np.empty_like(counts)
-    model[:-1] = np.log(grams / grams.sum(0))
-    model[:-1] -= model[:-1].mean(1, keepdims=True)  # a feature's mean tells no language from another
+    model[:-1] = np.log(grams) - np.log(grams.sum(0))
+    if langs:
+        model[:-1] -= model[:-1].mean(1, keepdims=True)  # a feature's mean tells no language from another
     model[-1] = np.log(np.maximum(texts, 0.5)) - np.log(max(texts.sum(), 1.0))
     return langs, model
 

@@ -30,6 +30,9 @@ WEIGHTS, SHARE, COPIES = (3, 1, 2), 1.5, 2
 #: Newton iterations at most; words by which a source may miss its target before rounding.
 ITERATIONS, TOLERANCE = 60, 0.25
 
+#: Single documents that may be added or left out to come nearer to a target.
+FITS = 3
+
 #: Documents ranked together.
 GROUP = 20_000
 
@@ -169,11 +172,18 @@ def _rounded(cells: DataFrame, sources: DataFrame, duals: DataFrame) -> DataFram
     rated = rated.withColumn("total", total)
     rated = rated.withColumn("extra", F.col("total") - F.coalesce(F.lag("total").over(down), F.lit(0)))
     whole = Window.partitionBy("key")
-    rated = rated.withColumn("missing", F.col("target") - F.sum(F.expr("(base * n + extra) * size")).over(whole))
+    missing = F.col("target") - F.sum(F.expr("(base * n + extra) * size")).over(whole)
     room = f"case when size = 0 or rate >= {COPIES} then 0D when missing > 0 then n - extra else extra end"
-    rated = rated.withColumn("room", F.expr(room))
+    # Short documents first, as many as fit; then, a few times, the one document that fits best.
+    rated = rated.withColumn("missing", missing).withColumn("room", F.expr(room))
     up = Window.partitionBy("key").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
     rated = rated.withColumn("used", F.coalesce(F.sum(F.expr("room * size")).over(up), F.lit(0)))
     change = "if(size = 0, 0, sign(missing) * least(room, floor(greatest(abs(missing) - used, 0) / greatest(size, 1))))"
-    rated = rated.withColumn("extra", (F.col("extra") + F.expr(change)).cast("long"))
+    rated = rated.withColumn("extra", F.col("extra") + F.expr(change))
+    for _ in range(FITS):
+        rated = rated.withColumn("missing", missing).withColumn("room", F.expr(room))
+        fit = F.expr("if(room >= 1 and abs(abs(missing) - size) < abs(missing), struct(abs(abs(missing) - size), size), null)")
+        rated = rated.withColumn("fit", F.min(fit).over(whole)["size"])
+        rated = rated.withColumn("extra", F.col("extra") + F.expr("if(size = fit, sign(missing), 0)"))
+    rated = rated.withColumn("extra", F.col("extra").cast("long"))
     return rated.select("key", "size", "n", "source_size", "target", "rate", "base", "extra")
