@@ -37,7 +37,7 @@ from llm.tables import components, stored
 WORDS, NUMERATOR, DENOMINATOR = 5, 4, 5
 
 #: Shingles a bucket should hold, and the most buckets there can be.
-BUCKET_SHINGLES, MAX_BUCKETS = 5_000_000, 1 << 15
+BUCKET_SHINGLES, MAX_BUCKETS = 2_500_000, 1 << 15
 
 #: A shingle in a larger share of the sets than one in this many belongs to the last tier.
 HOT_SHARE = 64
