@@ -50,13 +50,7 @@ class Encoder:
             model = sentencepiece.SentencePieceProcessor(model_file=path)
             self._encode = lambda text: model.encode(text, num_threads=1)
             return
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        slow = Tokenizer.from_file(path)
-        slow.no_truncation()
-        slow.no_padding()
-        self._encode = lambda text: slow.encode(text, add_special_tokens=False).ids
+        self._path, self._slow = path, None
         with open(path, encoding="utf-8") as file:
             ranks, self.special = _plain_ranks(json.load(file))
         if ranks:
@@ -64,6 +58,16 @@ class Encoder:
 
             self.fast = tiktoken.Encoding("plain", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
+    def _encode(self, text: str) -> list[int]:
+        if self._slow is None:  # loaded only where a text needs it
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            from tokenizers import Tokenizer
+
+            self._slow = Tokenizer.from_file(self._path)
+            self._slow.no_truncation()
+            self._slow.no_padding()
+        return self._slow.encode(text, add_special_tokens=False).ids
+
     def ids(self, text: str | None) -> np.ndarray:
         text = text or ""
         if self.fast is not None and not any(s in text for s in self.special) and _alike(text):

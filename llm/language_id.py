@@ -16,6 +16,9 @@ LENGTHS, FEATURES, SMOOTHING = (1, 2, 3), 1 << 16, 0.5
 
 UNKNOWN = "und"
 
+#: Text bytes handled at once: a few hundred bytes of numbers each.
+BLOCK = 1 << 18
+
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 
@@ -137,7 +140,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
     for batch in batches:
         langs = np.array(batch.column("lang").to_pylist(), object)
-        for lo, hi, data, offsets in textbits.blocks(batch.column("text"), 1 << 20):
+        for lo, hi, data, offsets in textbits.blocks(batch.column("text"), BLOCK):
             signs, starts = _signs(data, offsets)
             names, own = np.unique(langs[lo:hi].astype(str), return_inverse=True)
             of = np.repeat(own, np.diff(starts))
@@ -168,7 +171,7 @@ def _inside(starts: np.ndarray, length: int, n: int) -> np.ndarray:
 
 def _scores(column: pa.Array, langs: list[str], model: np.ndarray) -> tuple[list[str], list[float]]:
     out_langs, out_scores = [], []
-    for lo, hi, data, offsets in textbits.blocks(column, 1 << 20):
+    for lo, hi, data, offsets in textbits.blocks(column, BLOCK):
         signs, starts = _signs(data, offsets)
         lettered = np.add.reduceat(signs != 32, starts[:-1]) > 0
         totals = np.tile(model[-1], (hi - lo, 1))

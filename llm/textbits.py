@@ -19,7 +19,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 #: Text bytes handled at once; a longer single text is handled alone.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _RANDOM = np.random.default_rng(20240117)
 _COEFFICIENTS = _RANDOM.integers(1, 2**64, size=1024, dtype=np.uint64)
