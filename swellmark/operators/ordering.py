@@ -105,7 +105,7 @@ def cap_per_group(
     df: DataFrame,
     group: str | Sequence[str],
     order: Sequence,
-    n: int = fixed.MAX_ARTICLES_PER_DAY,
+    n: int,
 ) -> DataFrame:
     """The first n rows of each group by `order`.
 

@@ -36,7 +36,7 @@ def step_micros(step: str) -> int:
 
 
 #: Longest run of grid points generated from one row at a time.
-RUN = 100_000
+RUN = 4_096
 
 
 def _micros(ts: str) -> str:
@@ -52,9 +52,13 @@ def _grid_points(spans: DataFrame, size: int) -> DataFrame:
     """One row per grid number from lo to hi, with its time `us`.
 
     Long spans are cut into runs first, so no row holds an array of unbounded length.
+    Runs are dealt out anew, a few bytes each, so that the points of one key are made
+    by all tasks. The number is given, as adaptive execution would merge partitions
+    by their size before the points are there.
     """
     runs = spans.selectExpr("*", f"explode(sequence(lo, hi, {RUN}L)) as run")
-    points = runs.selectExpr("*", f"explode(sequence(run, least(hi, run + {RUN - 1}L))) as point")
+    tasks = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points = runs.repartition(tasks, "run", "hi").selectExpr("*", f"explode(sequence(run, least(hi, run + {RUN - 1}L))) as point")
     return points.selectExpr("*", f"point * {size}L as us")
 
 

@@ -24,7 +24,7 @@ def _day_text(ts: str):
     return F.date_format(ts, "yyyyMMdd")
 
 
-# --- a month of events: every event an article, purchases the price ---
+# --- a month of events: every event an article and, with its value, a price ---
 
 
 def short_news(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def short_news(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def short_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _weekly(
-        table(spark, sf_dir, "events").where("event_type = 'purchase'").withColumn("Route", F.lit("all")),
+        table(spark, sf_dir, "events").withColumn("Route", F.lit("all")),
         "ts", "Route", "value",
     )
 
@@ -56,11 +56,11 @@ def short_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk_score(short_gold(spark, sf_dir), half_even=False)
 
 
-# --- years of orders: returned items are articles, one price series per priority ---
+# --- years of orders: every line is an article, one price series per priority ---
 
 
 def long_news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("GlobalEventID"),
         _day_text("l_shipdate").alias("Day"),
         F.lit("YEM").alias("Country"),

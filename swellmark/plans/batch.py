@@ -21,11 +21,11 @@ from swellmark.sources.tables import read_rates_csv, read_table
 def news_from_exports(
     spark: SparkSession,
     exports: str | Sequence[str],
-    per_day: int | None = fixed.MAX_ARTICLES_PER_DAY,
+    per_day: int | None = None,
     strict_sniff: bool = False,
     **cleaning,
 ) -> DataFrame:
-    """Saved exports to the news table: clean, cap per day, number."""
+    """Saved exports to the news table: clean, number; with `per_day`, only the first so many of each day."""
     raw = read_raw_exports(spark, exports, strict_sniff)
     size_shuffles(raw)
     news = clean_news(raw, **cleaning)

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swellmark import schemas
+from swellmark import fixed, schemas
 from swellmark.operators import cleaning, frames, gold, ordering, series, stats, upsample
 from swellmark.operators.tone import lexicon_tone, with_lexicon_tone
 from swellmark.plans import adapters as data
@@ -64,12 +64,12 @@ news AS (
 SHORT_WEEKLY = """
 weekly AS (
   SELECT CAST(date_trunc('week', ts) AS TIMESTAMP) AS "Date", 'all' AS Route, avg(value * pi()) AS Price
-  FROM events WHERE event_type = 'purchase' GROUP BY 1, 2)"""
+  FROM events GROUP BY 1, 2)"""
 
 LONG_NEWS = """
 news AS (
   SELECT l_orderkey AS GlobalEventID, strftime(l_shipdate, '%Y%m%d') AS day_s, -l_quantity / pi() AS Tone
-  FROM lineitem WHERE l_returnflag = 'R')"""
+  FROM lineitem)"""
 
 LONG_WEEKLY = """
 weekly AS (
@@ -200,7 +200,7 @@ def study_window(spark, d):
     SELECT *, row_number() OVER (PARTITION BY day_s ORDER BY SourceURL, Tone) AS rn FROM news) WHERE rn <= 250"""
 )
 def news_cap(spark, d):
-    kept = ordering.cap_per_group(data.short_news(spark, d), "Day", ["SourceURL", "Tone"])
+    kept = ordering.cap_per_group(data.short_news(spark, d), "Day", ["SourceURL", "Tone"], fixed.MAX_ARTICLES_PER_DAY)
     return _rounded(kept.select("Day", "SourceURL", "Tone"), "Tone")
 
 
@@ -256,11 +256,10 @@ def clean_news(spark, d):
     _with(SHORT_NEWS)
     + """SELECT 99999 + row_number() OVER (ORDER BY day_s, SourceURL, Tone) AS GlobalEventID,
          day_s AS "Day", Country, round(Tone, 6) AS Tone, SourceURL
-  FROM (SELECT *, row_number() OVER (PARTITION BY day_s ORDER BY SourceURL, Tone) AS rn FROM news)
-  WHERE rn <= 250"""
+  FROM news"""
 )
 def ingest_exports(spark, d):
-    """Exports to numbered news: read, clean, cap per day, give ids."""
+    """Exports to numbered news: read, clean, give ids."""
     return _rounded(news_from_exports(spark, _write_exports(spark, d)), "Tone")
 
 
@@ -541,10 +540,10 @@ def risk_line(spark, d):
 
 
 @query(
-    SHORT + f"SELECT full_date, Price, news_count, avg_conflict_score, Risk_Score {_WINDOW} ORDER BY full_date DESC LIMIT 100"
+    SHORT + f"SELECT full_date, Price, news_count, avg_conflict_score, Risk_Score {_WINDOW} ORDER BY full_date DESC"
 )
 def raw_table(spark, d):
-    return frames.raw_table(_two_weeks(spark, d), limit=100)
+    return frames.raw_table(_two_weeks(spark, d))
 
 
 @query(

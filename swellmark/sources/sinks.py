@@ -36,7 +36,12 @@ def _swap(df: DataFrame, staged: str, target: str) -> None:
     old = path(f"{target}.old-{uuid.uuid4().hex}")
     if fs.exists(path(target)):
         _rename(fs, path(target), old)
-    _rename(fs, path(staged), path(target))
+    try:
+        _rename(fs, path(staged), path(target))
+    except Exception:
+        if fs.exists(old):
+            _rename(fs, old, path(target))
+        raise
     if fs.exists(old):
         fs.delete(old, True)
 
@@ -45,7 +50,12 @@ def _staged_write(df: DataFrame, target: str, save: Callable[[DataFrame, str], N
     """Write next to the target, count on the way, swap; returns the row count."""
     counted, seen = run_metrics(df, f"write-{uuid.uuid4().hex}")
     staged = f"{target}.staged-{uuid.uuid4().hex}"
-    save(counted, staged)
+    try:
+        save(counted, staged)
+    except Exception:
+        fs, path = _file_system(df, staged)
+        fs.delete(path(staged), True)
+        raise
     rows = seen.get["rows"]
     if skip_empty and rows == 0:
         fs, path = _file_system(df, staged)

@@ -76,7 +76,7 @@ def read_jdbc(
     return spark.read.format("jdbc").options(**jdbc_options(url, table, part_col, lo, hi, n, extra)).load()
 
 
-def read_gold(spark: SparkSession, name: str = "gold", order: bool = True) -> DataFrame:
-    """The four gold columns, by time."""
-    gold = read_table(spark, name, schemas.GOLD)
+def read_gold(spark: SparkSession, name: str = "gold", order: bool = True, keep_route: bool = False) -> DataFrame:
+    """The four gold columns, by time; with `keep_route` the route as well, for a table that was stored with it."""
+    gold = read_table(spark, name, schemas.GOLD_BY_ROUTE if keep_route else schemas.GOLD)
     return gold.orderBy("full_date") if order else gold

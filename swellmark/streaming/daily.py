@@ -15,6 +15,9 @@ DEDUP_SALTS = 16
 
 def _watermarked(stream: DataFrame, ts: str, delay: str) -> DataFrame:
     # Watermarks need a TIMESTAMP; in a UTC session the cast keeps the wall clock.
+    zone = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone.upper() not in ("UTC", "ETC/UTC", "Z", "+00:00"):
+        raise ValueError(f"days of a stream are days of UTC; the session's time zone is {zone}")
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 

@@ -3,8 +3,9 @@ import pytest
 import __spark_entry__ as contract
 from conftest import SF, SF_SMALL
 from oracle import compare
+from swellmark.plans import catalog
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog.ORACLE
 
 #: Checked on the larger tables too.
 WIDE = ["gold", "kpi_dates", "box_stats", "lag_scan", "ingest_exports", "lexicon_tone", "stream_daily"]
@@ -17,6 +18,7 @@ def test_entry(spark):
 
 
 def test_every_sql_has_a_query():
+    assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {"ols_band", "noisy_rates"}
 

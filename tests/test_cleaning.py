@@ -150,8 +150,8 @@ def test_match_news(spark):
     assert sorted(r.id for r in got.collect()) == [1, 4]
     loose = cleaning.match_news(df, "text", ["Storm"], max_tone=None)
     assert sorted(r.id for r in loose.collect()) == [1, 5, 7]
-    with pytest.raises(ValueError):
-        cleaning.match_news(df, "text", ["a|b"])
+    signs = spark.createDataFrame([(1, "at Bab-el-Mandeb.", -9.0), (2, "bab el mandeb", -9.0), (3, "a", -9.0)], df.schema)
+    assert [r.id for r in cleaning.match_news(signs, "text", ["bab-el-mandeb", "a|b", "d.e"]).collect()] == [1]
 
 
 def test_study_window_is_inclusive(spark):

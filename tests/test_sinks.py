@@ -128,13 +128,13 @@ def test_batch_job(spark, tmp_path, exports, weekly_csv):
     base = str(tmp_path / "store")
     Path(base).mkdir()
     counts = refresh(spark, exports, weekly_csv, base, noise_sd=0.0)
-    assert counts == {"news": 2500, "rates": 2689, "gold": 240}
+    assert counts == {"news": 3000, "rates": 2689, "gold": 240}
     assert refresh(spark, exports, weekly_csv, base, noise_sd=0.0) == counts
     assert names(base) == ["gold", "news", "rates"]
     gold = tables.read_gold(spark, f"{base}/gold")
-    assert gold.agg(F.min("news_count"), F.max("news_count")).first() == (250, 250)
+    assert gold.agg(F.min("news_count"), F.max("news_count")).first() == (300, 300)
     stored = tables.read_table(spark, f"{base}/news", schemas.NEWS)
-    assert stored.agg(F.min("GlobalEventID"), F.max("GlobalEventID")).first() == (100000, 102499)
+    assert stored.agg(F.min("GlobalEventID"), F.max("GlobalEventID")).first() == (100000, 102999)
 
 
 def test_batch_job_without_new_matches_keeps_gold(spark, tmp_path, exports, weekly_csv):
@@ -148,8 +148,9 @@ def test_batch_job_without_new_matches_keeps_gold(spark, tmp_path, exports, week
     assert tables.read_gold(spark, f"{base}/gold").count() == 240
 
 
-def test_news_without_cap(spark, exports):
-    assert news_from_exports(spark, exports, per_day=None).count() == 3000
+def test_news_capped_only_on_demand(spark, exports):
+    assert news_from_exports(spark, exports).count() == 3000
+    assert news_from_exports(spark, exports, per_day=250).count() == 2500
 
 
 def test_news_outside_the_rates_window_is_not_read(spark, tmp_path, exports, weekly_csv):

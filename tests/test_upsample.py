@@ -167,3 +167,9 @@ def test_agrees_with_pandas_on_the_grid(spark, hours, data):
     assert [None if v is None else round(v, 6) for v in got] == [
         None if pd.isna(v) else pytest.approx(v, abs=1e-5) for v in want
     ]
+
+
+def test_one_route_is_made_by_several_tasks(spark, weekly):
+    grid = upsample_linear(weekly, step="1 minute")
+    sizes = [r.n for r in grid.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 6 and sum(sizes) == 112 * 24 * 60 + 1 and max(sizes) < 3 * sum(sizes) / len(sizes)
