@@ -69,10 +69,22 @@ def hash_uniform(keys: Sequence[Column | str], seed: int, stream: int = 0) -> Co
     return (F.shiftrightunsigned(bits, 11).cast("double") + F.lit(0.5)) / F.lit(float(2**53))
 
 
+def text_uniform(keys: Sequence[Column | str], seed: int, stream: int = 0) -> Column:
+    """As `hash_uniform`, from the MD5 of the keys' texts: other engines can draw the same number.
+
+    The text is the keys, the seed and the stream, joined by '|', a null key being
+    empty. The first 13 hex digits are the number's 52 bits.
+    """
+    parts = [F.coalesce(_col(k).cast("string"), F.lit("")) for k in keys]
+    digest = F.md5(F.concat_ws("|", *parts, F.lit(str(seed)), F.lit(str(stream))))
+    bits = F.conv(F.left(digest, F.lit(13)), 16, 10).cast("double")
+    return (bits + F.lit(0.5)) / F.lit(float(2**52))
+
+
 def hash_normal(keys: Sequence[Column | str], mean: float, sd: float, seed: int = 0) -> Column:
-    """A reproducible normal draw per row (Box-Muller over two hash uniforms)."""
-    radius = F.sqrt(F.lit(-2.0) * F.log(hash_uniform(keys, seed, 1)))
-    angle = F.lit(2.0 * math.pi) * hash_uniform(keys, seed, 2)
+    """A reproducible normal draw per row (Box-Muller over two uniforms of the keys' texts)."""
+    radius = F.sqrt(F.lit(-2.0) * F.log(text_uniform(keys, seed, 1)))
+    angle = F.lit(2.0 * math.pi) * text_uniform(keys, seed, 2)
     return F.lit(float(mean)) + F.lit(float(sd)) * radius * F.cos(angle)
 
 

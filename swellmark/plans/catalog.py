@@ -15,7 +15,7 @@ from swellmark.plans import adapters as data
 from swellmark.plans.batch import news_from_exports
 from swellmark.session import scratch_path
 from swellmark.sources.exports import data_files, read_raw_exports
-from swellmark.sources.sinks import write_csv, write_if_nonempty, write_news
+from swellmark.sources.sinks import write_csv, write_if_nonempty, write_news, write_rates
 from swellmark.sources.tables import read_gold, read_news_csv, read_rates_csv, read_table
 from swellmark.streaming.daily import stream_daily, stream_daily_dedup, stream_gold
 
@@ -136,6 +136,15 @@ def _corr(x: str, y: str, digits: int = 6) -> str:
     return f"round(CASE WHEN isnan(corr({x}, {y})) THEN NULL ELSE corr({x}, {y}) END, {digits})"
 
 
+def _normal(key: str, seed: int) -> str:
+    """A standard normal draw from the MD5 of a text."""
+
+    def uniform(stream: int) -> str:
+        return f"((CAST('0x' || left(md5({key} || '|{seed}|{stream}'), 13) AS BIGINT) + 0.5) / 4503599627370496.0)"
+
+    return f"(sqrt(-2.0 * ln({uniform(1)})) * cos(2.0 * pi() * {uniform(2)}))"
+
+
 # --------------------------------------------------------------------------- news
 
 
@@ -279,6 +288,39 @@ def reject_reasons(spark, d):
     return rejects.groupBy("reject_reason").agg(F.count("*").alias("n"))
 
 
+@query(
+    f"""SELECT strftime(ts, '%Y%m%d') AS "Day", event_type AS SourceURL, round(CASE WHEN value >= 20 THEN -value
+    ELSE -5.0 + 2.0 * {_normal("strftime(ts, '%Y-%m-%d %H:%M') || '|' || event_type || '|low'", 7)} END, 6) AS Tone
+  FROM events"""
+)
+def tone_fallback(spark, d):
+    """Events whose small values are no number: their tone is drawn."""
+    raw = data.table(spark, d, "events").select(
+        F.date_format("ts", "yyyy-MM-dd HH:mm").alias("Date"),
+        F.col("event_type").alias("url"),
+        F.when(F.col("value") < 20, "low").otherwise((-F.col("value")).cast("string")).alias("AvgTone"),
+    )
+    news = cleaning.clean_news(raw, tone_policy="hash_normal", seed=7)
+    return _rounded(news.select("Day", "SourceURL", "Tone"), "Tone")
+
+
+@query(
+    """WITH news AS (
+    SELECT CASE event_type WHEN 'error' THEN '20240230' WHEN 'signup' THEN '2024' ELSE strftime(ts, '%Y%m%d') END AS day_s,
+           -value / pi() AS Tone FROM events),"""
+    + DAILY
+    + """ SELECT CAST(event_date AS VARCHAR) AS event_date, news_count, round(avg_conflict_score, 6) AS avg_conflict_score
+  FROM daily"""
+)
+def bad_days(spark, d):
+    """Days that no calendar has, and days cut short, share the row without a date."""
+    day = F.when(F.col("event_type") == "error", "20240230").when(F.col("event_type") == "signup", "2024")
+    news = data.table(spark, d, "events").select(
+        F.coalesce(day, F.date_format("ts", "yyyyMMdd")).alias("Day"), (-F.col("value") / F.pi()).alias("Tone")
+    )
+    return _dates_as_text(_rounded(gold.aggregate_news(news), "avg_conflict_score"), "event_date")
+
+
 @query(
     """SELECT CASE WHEN event_type IN ('view', 'click') THEN 'URL,Date,Tone' ELSE 'date,AvgTone,url' END AS header,
          true AS is_data, count(*) AS n_rows
@@ -415,12 +457,100 @@ def stored_gold(spark, d):
     return _rounded(read_gold(spark, path), "Price", "avg_conflict_score", digits=4)
 
 
-@query()
+@query(
+    _with(LONG_WEEKLY, HOURLY)
+    + f"""SELECT "Date", Route, round_even(Price + 5.0 * {_normal("Route || '|' || CAST(\"Date\" AS VARCHAR)", 1)}, 2) AS Price
+  FROM hourly"""
+)
 def noisy_rates(spark, d):
-    """Jittered prices: no SQL twin, the draws come from Spark's hash."""
+    """Jittered prices, rounded to cents."""
     return upsample.upsample_rates(data.long_weekly(spark, d), noise_sd=5.0, seed=1)
 
 
+@query(
+    _with(LONG_WEEKLY)
+    + """, holed AS (
+    SELECT "Date", Route, CASE WHEN month("Date") IN (1, 4, 7, 8, 12) THEN NULL ELSE Price END AS Price FROM weekly),
+  grid AS (
+    SELECT Route, CAST(unnest(generate_series(min("Date"), max("Date"), INTERVAL 1 HOUR)) AS TIMESTAMP) AS "Date"
+    FROM holed GROUP BY Route),
+  anchors AS (
+    SELECT Route, "Date" AS held_at, Price AS v, lead("Date") OVER w AS next_at, lead(Price) OVER w AS next_v
+    FROM holed WHERE Price IS NOT NULL WINDOW w AS (PARTITION BY Route ORDER BY "Date"))
+  SELECT g."Date", g.Route, round(CASE WHEN next_at IS NULL THEN v
+    ELSE v + (next_v - v) * date_diff('hour', held_at, g."Date") / date_diff('hour', held_at, next_at) END, 4) AS Price
+  FROM grid g ASOF LEFT JOIN anchors a ON a.Route = g.Route AND g."Date" >= a.held_at"""
+)
+def hourly_rates_nulls(spark, d):
+    """Weeks without a price at the start, in the middle and at the end of each route."""
+    holed = data.long_weekly(spark, d).withColumn(
+        "Price", F.when(~F.month("Date").isin(1, 4, 7, 8, 12), F.col("Price"))
+    )
+    return _rounded(upsample.upsample_linear(holed), "Price", digits=4)
+
+
+@query(_with(LONG_WEEKLY, HOURLY) + 'SELECT "Date", Route, round(Price, 4) AS Price FROM hourly')
+def stored_rates(spark, d):
+    """Hourly prices written, then read back with the declared schema."""
+    path = scratch_path(spark, "rates")
+    write_rates(data.long_hourly(spark, d), path)
+    return _rounded(read_table(spark, path, schemas.RATES), "Price", digits=4)
+
+
+@query(
+    _with(LONG_NEWS, LONG_WEEKLY, DAILY, HOURLY, GOLD)
+    + """SELECT full_date, round(Price, 4) AS Price, news_count, round(avg_conflict_score, 4) AS avg_conflict_score, Route
+  FROM gold"""
+)
+def stored_gold_by_route(spark, d):
+    """Gold stored with its route, and read back with it."""
+    path = scratch_path(spark, "gold")
+    write_if_nonempty(data.long_gold(spark, d), path)
+    return _rounded(read_gold(spark, path, keep_route=True), "Price", "avg_conflict_score", digits=4)
+
+
+@query(
+    _with(SHORT_NEWS, SHORT_WEEKLY, DAILY, HOURLY, GOLD)
+    + """SELECT full_date, round(Price, 6) AS Price, news_count, round(avg_conflict_score, 6) AS avg_conflict_score
+  FROM gold"""
+)
+def gold_kept_when_empty(spark, d):
+    """An empty gold table doesn't replace the one that is stored."""
+    path = scratch_path(spark, "gold")
+    frame = data.short_gold(spark, d)
+    write_if_nonempty(frame, path)
+    write_if_nonempty(frames.filter_dates(frame, "2030-01-01", "2030-01-31"), path)
+    return _rounded(read_gold(spark, path), "Price", "avg_conflict_score")
+
+
+@query(
+    _with(SHORT_NEWS, SHORT_WEEKLY, DAILY, HOURLY, GOLD)
+    + """SELECT 'news' AS target, count(*) AS n FROM news UNION ALL SELECT 'rates', count(*) FROM hourly
+  UNION ALL SELECT 'gold', count(*) FROM gold UNION ALL SELECT 'empty gold', 0"""
+)
+def write_counts(spark, d):
+    """What each writer says it has written."""
+    path = scratch_path(spark, "counts")
+    frame = data.short_gold(spark, d)
+    counts = {
+        "news": write_news(data.short_news(spark, d), f"{path}/news"),
+        "rates": write_rates(data.short_hourly(spark, d), f"{path}/rates"),
+        "gold": write_if_nonempty(frame, f"{path}/gold"),
+        "empty gold": write_if_nonempty(frames.filter_dates(frame, "2030-01-01", "2030-01-31"), f"{path}/gold"),
+    }
+    return spark.createDataFrame(list(counts.items()), "target string, n long")
+
+
+@query(
+    _with(SHORT_NEWS, SHORT_WEEKLY, DAILY, HOURLY, GOLD)
+    + """SELECT full_date, round_even(Price, 2) AS Price, news_count, round(avg_conflict_score, 6) AS avg_conflict_score,
+         round_even(news_count * avg_conflict_score, 2) AS Risk_Score FROM gold"""
+)
+def frame_half_even(spark, d):
+    """The frame with ties to even and the conflict score as it is."""
+    return _rounded(frames.risk_score(data.short_gold(spark, d), round_score=False), "avg_conflict_score")
+
+
 @query(SHORT + "SELECT full_date, Price, news_count, avg_conflict_score, Risk_Score FROM frame")
 def analysis_frame(spark, d):
     return data.short_frame(spark, d)
@@ -503,6 +633,17 @@ def default_window(spark, d):
     return frames.default_window(data.short_frame(spark, d)).select("full_date", "Price", "Risk_Score")
 
 
+@query(
+    SHORT
+    + """SELECT full_date, Price, Risk_Score FROM frame
+  WHERE CAST(full_date AS DATE) BETWEEN DATE '2024-01-09' AND DATE '2024-01-19'"""
+)
+def default_window_clipped(spark, d):
+    """A window inside the data, which drops days at both ends."""
+    kept = frames.default_window(data.short_frame(spark, d), "2024-01-09", "2024-01-19")
+    return kept.select("full_date", "Price", "Risk_Score")
+
+
 @query(
     SHORT
     + """SELECT CAST(greatest(DATE '2023-11-15', CAST(min(full_date) AS DATE)) AS VARCHAR) AS start_date,
@@ -667,14 +808,18 @@ def to_daily(spark, d):
 
 @query(
     LONG_DAILY
-    + f"""SELECT r.Route, CAST(k.lag AS INTEGER) AS lag, count(*) AS n, {_corr('r.Risk_Score', 'p.avg_price')} AS r
-  FROM per_day r CROSS JOIN (SELECT unnest(range(0, 31)) AS lag) k
-  JOIN per_day p ON p.Route = r.Route AND p.day = r.day + CAST(k.lag AS INTEGER)
-  GROUP BY 1, 2"""
+    + f""", scan AS (
+    SELECT r.Route, CAST(k.lag AS INTEGER) AS lag, count(*) AS n, {_corr('r.Risk_Score', 'p.avg_price', 12)} AS r
+    FROM per_day r CROSS JOIN (SELECT unnest(range(0, 31)) AS lag) k
+    JOIN per_day p ON p.Route = r.Route AND p.day = r.day + CAST(k.lag AS INTEGER)
+    GROUP BY 1, 2)
+  SELECT Route, lag, n, round(r, 6) AS r,
+         CAST(row_number() OVER (PARTITION BY Route ORDER BY r DESC NULLS LAST, lag) AS INTEGER) AS rank
+  FROM scan"""
 )
 def lag_scan(spark, d):
     scan = series.lag_scan(series.to_daily(data.long_frame(spark, d), ["Route"]), 30, ["Route"])
-    return scan.select("Route", "lag", "n", _r("r"))
+    return _rounded(scan, "r")
 
 
 @query(
