@@ -12,7 +12,7 @@ from swellmark.operators.cleaning import clean_news, study_window
 from swellmark.operators.gold import build_gold
 from swellmark.operators.ordering import cap_per_group, dense_ids
 from swellmark.operators.upsample import upsample_rates
-from swellmark.session import size_shuffles
+from swellmark.session import sized_shuffles
 from swellmark.sources.exports import read_raw_exports
 from swellmark.sources.sinks import write_if_nonempty, write_news, write_rates
 from swellmark.sources.tables import read_rates_csv, read_table
@@ -27,12 +27,12 @@ def news_from_exports(
 ) -> DataFrame:
     """Saved exports to the news table: clean, number; with `per_day`, only the first so many of each day."""
     raw = read_raw_exports(spark, exports, strict_sniff)
-    size_shuffles(raw)
-    news = clean_news(raw, **cleaning)
-    order = [F.col("SourceURL"), F.col("Tone")]
-    if per_day is not None:
-        news = cap_per_group(news, "Day", order, per_day)
-    return dense_ids(news, "Day", ["SourceURL", "Tone"]).select(*schemas.NEWS.fieldNames())
+    # Cleaning is lazy, but numbering runs in here: its sort ends in a checkpoint.
+    with sized_shuffles(raw):
+        news = clean_news(raw, **cleaning)
+        if per_day is not None:
+            news = cap_per_group(news, "Day", [F.col("SourceURL"), F.col("Tone")], per_day)
+        return dense_ids(news, "Day", ["SourceURL", "Tone"]).select(*schemas.NEWS.fieldNames())
 
 
 def refresh(

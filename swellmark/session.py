@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,6 +59,17 @@ def size_shuffles(df: DataFrame) -> int:
     return wanted
 
 
+@contextmanager
+def sized_shuffles(df: DataFrame) -> Iterator[int]:
+    """`size_shuffles` for what runs inside; the session's own setting is back afterwards."""
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    try:
+        yield size_shuffles(df)
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: `spark.checkpoint.dir` of the session.
 

@@ -178,3 +178,18 @@ def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
         assert session.size_shuffles(stored) > int(before)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_sized_shuffles_leave_the_setting_as_it_was(spark, tmp_path, monkeypatch):
+    from swellmark import session
+
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 1000)
+    news(spark, [f"202401{d:02d}" for d in range(1, 29)] * 100).write.parquet(str(tmp_path / "n"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    stored = tables.read_table(spark, str(tmp_path / "n"), schemas.NEWS)
+    with session.sized_shuffles(stored) as wanted:
+        assert wanted > int(before) and spark.conf.get("spark.sql.shuffle.partitions") == str(wanted)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    with pytest.raises(ValueError), session.sized_shuffles(stored):
+        raise ValueError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
