@@ -10,6 +10,9 @@ How the work is dealt out:
 * Equal sets are one node from the start, whatever the number of copies.
 * Frequencies are counted per bucket of the hash space; each task sends a bucket
   its shingles as packed 48-bit rests, since the bucket holds the other bits.
+* What a bucket found shared goes on packed by parts of the sets, as many parts as
+  buckets, so a part has about as many shingles as a bucket and a set costs no row
+  for each bucket. A part is put in order a block of sets at a time.
 * Shingles in more than about 1/64 of all sets form a tier of their own behind
   all others, ordered by hash. There are at most 128 mean set sizes of them,
   whatever the number of documents, so this list may be broadcast. No bucket
@@ -42,6 +45,9 @@ BUCKET_SHINGLES, MAX_BUCKETS = 2_500_000, 1 << 15
 #: A shingle in a larger share of the sets than one in this many belongs to the last tier.
 HOT_SHARE = 64
 
+#: Shared shingles put in order at once; a longer single set is handled alone.
+BLOCK_SHINGLES = 1 << 18
+
 #: Sets looked at together when frequent shingles are noticed.
 HOT_BLOCK = 1024
 
@@ -107,11 +113,8 @@ def _links(rows: DataFrame, summary: DataFrame, sets: DataFrame) -> DataFrame:
     n_buckets = int(min(MAX_BUCKETS, max(8, -(-n_shingles // BUCKET_SHINGLES))))
 
     packed = rows.where("doc_id is not null").mapInArrow(_emit(hot, n_buckets), "bucket int, payload binary")
-    shared = packed.groupBy("bucket").applyInArrow(
-        _shared(n_buckets), "s0 long, s1 long, n long, tokens binary, ranks binary"
-    )
-    ordered = shared.repartition("s0", "s1").sortWithinPartitions("s0", "s1")
-    prefixes = ordered.mapInArrow(
+    shared = packed.groupBy("bucket").applyInArrow(_shared(n_buckets), "part int, payload binary")
+    prefixes = shared.groupBy("part").applyInArrow(
         _prefixes, "s0 long, s1 long, n long, tokens binary, sig array<int>, prefix array<long>, first long"
     )
     heads = sets.where("n > 0").groupBy("s0", "s1").agg(F.min("doc_id").alias("doc"))
@@ -340,17 +343,22 @@ def _once(runs: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _shared(n_buckets: int):
-    """What two sets or more of a bucket hold, by set, with the frequencies."""
-    names = ["s0", "s1", "n", "tokens", "ranks"]
-
-    def rows(runs: np.ndarray, tokens: np.ndarray, ranks: np.ndarray, counts: np.ndarray) -> pa.Table:
-        return pa.Table.from_arrays(
-            [
-                pa.array(runs["s0"]), pa.array(runs["s1"]), pa.array(runs["n"].astype(np.int64)),
-                textbits.binary(tokens, counts), textbits.binary(ranks.astype(np.uint32), counts),
-            ],
-            names,
-        )
+    """What two sets or more of a bucket hold, with the frequencies, packed by parts of the sets."""
+
+    def rows(runs: np.ndarray, tokens: np.ndarray, ranks: np.ndarray) -> pa.Table:
+        part = runs["s0"] % n_buckets
+        order = np.argsort(part, kind="stable")
+        moved = np.argsort(np.repeat(part, runs["count"]), kind="stable")
+        part, runs, tokens, ranks = part[order], runs[order], tokens[moved], ranks[moved].astype("<u4")
+        ends = np.concatenate([[0], np.cumsum(runs["count"].astype(np.int64))])
+        cuts = np.searchsorted(part, np.arange(n_buckets + 1))
+        parts = np.flatnonzero(np.diff(cuts))
+        payloads = []
+        for p in parts:
+            lo, hi = cuts[p], cuts[p + 1]
+            held = slice(ends[lo], ends[hi])
+            payloads.append(b"".join([np.uint32(hi - lo).tobytes(), runs[lo:hi].tobytes(), tokens[held].tobytes(), ranks[held].tobytes()]))
+        return pa.Table.from_arrays([pa.array(parts, pa.int32()), pa.array(payloads, pa.binary())], ["part", "payload"])
 
     def shared(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -359,7 +367,7 @@ def _shared(n_buckets: int):
             runs = np.concatenate([np.frombuffer(p, _RUN, 1) for p in payloads])
             tokens = np.concatenate([np.frombuffer(p, "<u8", offset=_RUN.itemsize) for p in payloads])
             runs, tokens = _once(runs, tokens)
-            return rows(runs, tokens | _HOT_BIT, np.full(len(tokens), HOT_RANK), runs["count"])
+            return rows(runs, tokens | _HOT_BIT, np.full(len(tokens), HOT_RANK))
         parts = [_unpack(p) for p in payloads]
         del payloads
         runs, tokens = np.concatenate([r for r, _ in parts]), np.concatenate([t for _, t in parts])
@@ -375,35 +383,40 @@ def _shared(n_buckets: int):
         starts = np.concatenate([[0], np.cumsum(runs["count"].astype(np.int64))[:-1]])
         per_run = np.add.reduceat(kept, starts, dtype=np.int64)
         tokens = (tokens[kept] & _LOW48) | np.uint64(bucket << 48)
-        return rows(runs[per_run > 0], tokens, df[kept], per_run[per_run > 0])
+        left = runs[per_run > 0]
+        left["count"] = per_run[per_run > 0]
+        return rows(left, tokens, df[kept])
 
     return shared
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets in the order of frequencies with their prefixes; the input is sorted by set."""
-    carry: pa.Table | None = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = table if carry is None else pa.concat_tables([carry, table])
-        s0, s1 = table.column("s0").to_numpy(), table.column("s1").to_numpy()
-        same = np.flatnonzero((s0 != s0[-1]) | (s1 != s1[-1])) if len(s0) else []
-        cut = int(same[-1]) + 1 if len(same) else 0
-        carry = table.slice(cut)
-        if cut:
-            yield _prefix_rows(table.slice(0, cut))
-    if carry is not None and len(carry):
-        yield _prefix_rows(carry)
-
-
-def _prefix_rows(table: pa.Table) -> pa.RecordBatch:
-    table = table.combine_chunks()
-    s0, s1, n = (table.column(c).to_numpy() for c in ("s0", "s1", "n"))
-    tokens, counts = textbits.from_binary(_one(table.column("tokens")), np.uint64)
-    ranks, _ = textbits.from_binary(_one(table.column("ranks")), np.uint32)
-    head = np.concatenate([[True], (s0[1:] != s0[:-1]) | (s1[1:] != s1[:-1])])
-    doc = np.repeat(np.cumsum(head) - 1, counts)
-    s0, s1, n = s0[head], s1[head], n[head]
+def _part(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    runs = np.frombuffer(payload, _RUN, int(np.frombuffer(payload, "<u4", 1)[0]), 4)
+    size, at = int(runs["count"].sum(dtype=np.int64)), 4 + runs.nbytes
+    return runs, np.frombuffer(payload, "<u8", size, at), np.frombuffer(payload, "<u4", size, at + 8 * size)
+
+
+def _prefixes(table: pa.Table) -> pa.Table:
+    """The sets of a part, each in the order of frequencies, with their prefixes."""
+    runs, tokens, ranks = (np.concatenate(x) for x in zip(*(_part(p.as_py()) for p in table.column("payload"))))
+    sets, first, doc = np.unique(runs[["s0", "s1"]], return_index=True, return_inverse=True)
+    doc = np.repeat(doc.astype(np.int32), runs["count"])
+    order = np.argsort(doc, kind="stable")
+    doc, tokens, ranks, n = doc[order], tokens[order], ranks[order], runs["n"][first].astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(sets)))])
+    at, out = 0, []
+    while at < len(sets):
+        end = max(at + 1, int(np.searchsorted(ends, ends[at] + BLOCK_SHINGLES, "right")) - 1)
+        held = slice(ends[at], ends[end])
+        out.append(_prefix_rows(sets["s0"][at:end], sets["s1"][at:end], n[at:end], doc[held] - at, tokens[held], ranks[held]))
+        at = end
+    return pa.Table.from_batches(out)
+
+
+def _prefix_rows(
+    s0: np.ndarray, s1: np.ndarray, n: np.ndarray, doc: np.ndarray, tokens: np.ndarray, ranks: np.ndarray
+) -> pa.RecordBatch:
+    """`doc` (ascending) indexes the sets `s0`, `s1`, `n`."""
     order = np.lexsort((tokens, ranks, doc))
     tokens = tokens[order]
     size = np.bincount(doc, minlength=len(n))
@@ -428,10 +441,6 @@ def _prefix_rows(table: pa.Table) -> pa.RecordBatch:
     return out.filter(pa.array(wanted > 0))
 
 
-def _one(column: pa.ChunkedArray) -> pa.Array:
-    return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks)
-
-
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = zip(batch.column("na").to_pylist(), batch.column("nb").to_pylist())
