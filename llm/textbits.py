@@ -137,13 +137,3 @@ def binary(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     else:
         offsets, kind = pa.py_buffer(ends), pa.large_binary()
     return pa.Array.from_buffers(kind, len(counts), [None, offsets, pa.py_buffer(np.ascontiguousarray(values))])
-
-
-def from_binary(column: pa.Array, dtype: type) -> tuple[np.ndarray, np.ndarray]:
-    """All entries of a binary column without nulls as one array, and the length of each."""
-    column = column.cast(pa.large_binary())
-    _, offsets, data = column.buffers()
-    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
-    size = np.dtype(dtype).itemsize
-    flat = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
-    return np.frombuffer(flat.tobytes(), dtype), np.diff(ends) // size
