@@ -29,8 +29,8 @@ def version(name: str) -> str:
 
 
 @lru_cache(maxsize=4)
-def encoder(name: str) -> "Encoder":
-    return Encoder(resolve(name))
+def encoder(name: str, plain: bool = False) -> "Encoder":
+    return Encoder(resolve(name), plain)
 
 
 class Encoder:
@@ -39,11 +39,13 @@ class Encoder:
     A .json file is read by tokenizers, a .model file by sentencepiece. Where the
     .json file describes a plain byte-level BPE, the same merges run in tiktoken,
     several times as fast, for texts without characters on which the two
-    libraries' classes could differ; all others stay with tokenizers.
+    libraries' classes could differ; all others stay with tokenizers. With `plain`
+    the strings of special tokens inside a text are text like any other.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         self.fast = self.special = None
+        self.plain = plain
         if path.endswith(".model"):
             import sentencepiece
 
@@ -66,15 +68,39 @@ class Encoder:
             self._slow = Tokenizer.from_file(self._path)
             self._slow.no_truncation()
             self._slow.no_padding()
+            self._slow.encode_special_tokens = self.plain
         return self._slow.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str | None) -> np.ndarray:
         text = text or ""
-        if self.fast is not None and not any(s in text for s in self.special) and _alike(text):
+        if self.fast is not None and (self.plain or not any(s in text for s in self.special)) and _alike(text):
             return self.fast.encode_to_numpy(text, disallowed_special=())
         return np.array(self._encode(text), np.uint32)
 
 
+@lru_cache(maxsize=4)
+def token_bytes(name: str) -> tuple[bytes, ...]:
+    """The bytes that each id of a byte-level .json tokenizer or of a .model stands for; U+2581 is a space."""
+    path = resolve(name)
+    if path.endswith(".model"):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        return tuple(
+            bytes([int(model.id_to_piece(i)[1:-1], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace("\u2581", " ").encode()
+            for i in range(model.vocab_size())
+        )
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    known = _byte_signs()
+    out = [b""] * (1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec.get("added_tokens") or [])]))
+    for word, i in spec["model"]["vocab"].items():
+        out[i] = bytes(known[c] for c in word) if all(c in known for c in word) else word.encode()
+    for token in spec.get("added_tokens") or []:
+        out[token["id"]] = token["content"].encode()
+    return tuple(out)
+
+
 def _alike(text: str) -> bool:
     """Only letters, digits and signs below U+0250 but for control characters that are not white space."""
     return text.isascii() and text.isprintable() or not _ODD.search(text)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import (
+    best_fit,
     embedding_dedup,
     exact_topk,
     html_text,
@@ -17,8 +18,10 @@ from llm import (
     mixing,
     packing,
     substring_dedup,
+    token_alignment,
     token_counts,
     toxicity,
+    whitening,
 )
 from llm.tables import read
 from swellmark.session import scratch_path
@@ -78,6 +81,20 @@ def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokenizers(read(importable(spark), sf_dir, "documents"), outputs=("groups_sha256",))
+
+
+def best_fit_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack_best_fit(read(importable(spark), sf_dir, "documents"), keep_ids=False)
+
+
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation that no long holds (from some millions of vectors on) is null here; the operator's decimal has it."""
+    rows = whitening.whiten(read(importable(spark), sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_near_dedup": near_vectors,
     "op2_html_extraction": page_texts,
@@ -89,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": passages,
     "op9_token_counts": tokens,
     "op10_mixing": mixed,
+    "op11_tokenizer_alignment": alignment,
+    "op12_best_fit_packing": best_fit_packed,
+    "op13_embedding_whitening": whitened,
 }
 
 _FINITE = "embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
