@@ -34,7 +34,7 @@ COMPONENTS = 8
 SCALE, SHIFT = 1024, 100_000
 
 #: Vectors of the subspace at most; MINRES steps of a correction; rounds; random vectors at the start.
-SUBSPACE, INNER, ROUNDS, START = 64, 5, 60, 16
+SUBSPACE, INNER, ROUNDS, START = 64, 3, 60, 32
 
 #: A residual is down to double precision at TIGHT x the largest eigenvalue; at LOOSE if it falls no more.
 TIGHT, LOOSE = 50 * np.finfo(float).eps, 1e-12
