@@ -34,6 +34,12 @@ HOT = 1_000_000
 #: Ends on each side of the middle that all intervals try together; who finds none looks further alone.
 PROBES = 8
 
+#: What can follow an id in the written form of groups.
+SIGNS = (",", "|", ";", "")
+
+#: Text bytes aligned together; a longer single text is aligned alone.
+BLOCK_BYTES = 1 << 19
+
 #: Distinct pairs that a task holds before it hands on its counts.
 HELD = 1 << 20
 
@@ -168,12 +174,11 @@ def common_cuts(ends_a: np.ndarray, ends_b: np.ndarray, spans: np.ndarray) -> np
         leaves.append(todo[~found])
         cut, fewer, at, other = todo[found], fewer[found], at[found] + 1, other[found] + 1
         cut_a, cut_b = np.where(fewer, at, other), np.where(fewer, other, at)
-        todo = np.concatenate(
-            [
-                np.stack([cut[:, 0], cut_a, cut[:, 2], cut_b], 1),
-                np.stack([cut_a, cut[:, 1], cut_b, cut[:, 3]], 1),
-            ]
-        )
+        halves = np.stack([cut[:, 0], cut_a, cut[:, 2], cut_b, cut_a, cut[:, 1], cut_b, cut[:, 3]], 1).reshape(-1, 4)
+        # A single token on a side has no end inside.
+        single = (halves[:, 1] - halves[:, 0] == 1) | (halves[:, 3] - halves[:, 2] == 1)
+        leaves.append(halves[single])
+        todo = halves[~single]
     groups = np.concatenate(leaves) if leaves else np.zeros((0, 4), np.int64)
     return groups[np.argsort(groups[:, 0])]
 
@@ -225,10 +230,11 @@ def _align(names: tuple[str, str], outputs: list[str]):
 
         row = TaskContext.get().partitionId() << 33
         sides = [_Side(name) for name in names]
+        texts = [f"{i}{sign}" for side in sides for i in range(len(side.bytes)) for sign in SIGNS]
         for batch in batches:
             ids, text = batch.column("doc_id"), batch.column("text")
-            for lo, hi, _, _ in textbits.blocks(text):
-                yield _aligned(ids.slice(lo, hi - lo), text.slice(lo, hi - lo).to_pylist(), sides, outputs, row)
+            for lo, hi, _, _ in textbits.blocks(text, BLOCK_BYTES):
+                yield _aligned(ids.slice(lo, hi - lo), text.slice(lo, hi - lo).to_pylist(), sides, outputs, row, texts)
                 row += hi - lo
 
     return align
@@ -241,8 +247,6 @@ class _Side:
         self.encoder, self.bytes = encoder(name, plain=True), token_bytes(name)
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
         self.kind = np.dtype("<u2" if len(self.bytes) <= 1 << 16 else "<u4")
-        # The text of an id before each of the four signs that may follow it.
-        self.texts = [f"{i}{sign}" for i in range(len(self.bytes)) for sign in (",", "|", ";", "")]
 
     def spelled(self, text: str, data: bytes) -> np.ndarray | None:
         ids = self.encoder.ids(text)
@@ -250,15 +254,15 @@ class _Side:
         return ids if b"".join([known[i] for i in ids.tolist()]) == data else None
 
 
-def _aligned(ids: pa.Array, texts: list, sides: list[_Side], outputs: list[str], row: int) -> pa.RecordBatch:
+def _aligned(ids: pa.Array, text: list, sides: list[_Side], outputs: list[str], row: int, texts: list[str]) -> pa.RecordBatch:
     a, b = sides
     parts_a, parts_b = [], []
     none = np.zeros(0, np.uint32)
-    for text in texts:
-        spaced = f" {text}" if text else ""
+    for own in text:
+        spaced = f" {own}" if own else ""
         data = spaced.encode()
-        one = a.spelled(spaced, data) if text else None
-        two = b.spelled(text, data) if one is not None else None
+        one = a.spelled(spaced, data) if own else None
+        two = b.spelled(own, data) if one is not None else None
         parts_a.append(none if two is None else one)
         parts_b.append(none if two is None else two)
     n_a, n_b = (np.array([len(p) for p in parts], np.int64) for parts in (parts_a, parts_b))
@@ -275,7 +279,7 @@ def _aligned(ids: pa.Array, texts: list, sides: list[_Side], outputs: list[str],
         return textbits.binary(values.astype(kind), counts)
 
     columns = {
-        "row": pa.array(np.arange(row, row + len(texts))),
+        "row": pa.array(np.arange(row, row + len(text))),
         "doc_id": ids,
         "n_a": pa.array(n_a),
         "n_b": pa.array(n_b),
@@ -285,7 +289,7 @@ def _aligned(ids: pa.Array, texts: list, sides: list[_Side], outputs: list[str],
         "link_b": packed(ids_b[link_b], n_links, b.kind),
     }
     if "groups" in outputs or "groups_sha256" in outputs:
-        written = _written(ids_a, ids_b, groups, a, b, n_a + n_b)
+        written = _written(ids_a, ids_b, groups, a, n_a + n_b, texts)
         columns["groups"] = pa.array(written)
         if "groups_sha256" in outputs:
             columns["groups_sha256"] = pa.array([hashlib.sha256(w.encode()).hexdigest() if w else "" for w in written])
@@ -301,22 +305,22 @@ def _aligned(ids: pa.Array, texts: list, sides: list[_Side], outputs: list[str],
     return pa.RecordBatch.from_arrays([columns[name] for name in names], names)
 
 
-def _written(ids_a, ids_b, groups, a: _Side, b: _Side, counts: np.ndarray) -> list[str]:
-    """Each text's groups, the A ids before the B ids of each."""
-    total = len(ids_a) + len(ids_b)
-    place_a = np.arange(len(ids_a)) + np.repeat(groups[:, 2], groups[:, 1] - groups[:, 0])
-    place_b = np.arange(len(ids_b)) + np.repeat(groups[:, 1], groups[:, 3] - groups[:, 2])
+def _written(ids_a, ids_b, groups, a: _Side, counts: np.ndarray, texts: list[str]) -> list[str]:
+    """Each text's groups, the A ids before the B ids of each.
+
+    `texts` is how each id of A, then of B, is written before each of the signs.
+    """
     sign_a, sign_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
-    sign_a[groups[:, 1] - 1], sign_b[groups[:, 3] - 1] = 1, 2
-    parts = np.empty(total, object)
-    parts[place_a] = [a.texts[i] for i in (4 * ids_a + sign_a).tolist()]
+    sign_a[groups[:, 1] - 1], sign_b[groups[:, 3] - 1] = SIGNS.index("|"), SIGNS.index(";")
+    codes = np.empty(len(ids_a) + len(ids_b), np.int64)
+    codes[np.arange(len(ids_a)) + np.repeat(groups[:, 2], groups[:, 1] - groups[:, 0])] = len(SIGNS) * ids_a + sign_a
+    codes[np.arange(len(ids_b)) + np.repeat(groups[:, 1], groups[:, 3] - groups[:, 2])] = (
+        len(SIGNS) * (len(a.bytes) + ids_b) + sign_b
+    )
     ends = np.cumsum(counts)
     # The last of each text, a B token, has no sign behind it.
-    final = np.zeros(total, bool)
-    final[ends[counts > 0] - 1] = True
-    sign_b[final[place_b]] = 3
-    parts[place_b] = [b.texts[i] for i in (4 * ids_b + sign_b).tolist()]
-    return ["".join(parts[end - n : end]) for end, n in zip(ends.tolist(), counts.tolist())]
+    codes[ends[counts > 0] - 1] += SIGNS.index("") - SIGNS.index(";")
+    return ["".join(map(texts.__getitem__, codes[end - n : end].tolist())) for end, n in zip(ends.tolist(), counts.tolist())]
 
 
 class _Pairs:
