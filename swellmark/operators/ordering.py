@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,3 +125,56 @@ def cap_per_group(
         .where(F.col("_rank") <= n)
         .drop("_salt", "_rank")
     )
+
+
+def neighbours(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    cols: Sequence[str],
+    before: str = "before",
+    after: str = "after",
+    carried: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Each row with its neighbours in its key: `before` and `after` are structs of `cols`, null at the ends.
+
+    `carried` names columns to add: the last value that is not null, up to and including
+    the row, of the column given for each. (keys, order) must identify a row; a null key is a key.
+
+    One key may hold all rows: neighbours are looked up inside range partitions, and the
+    partitions exchange their outermost rows, one of each per partition and key.
+    """
+    carried = dict(carried or {})
+    rows = _range_sorted(df, [*keys, *order]).withColumn("_own", F.struct(*cols))
+    inside = Window.partitionBy("_part", *keys).orderBy("_pos")
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    placed = rows.select(
+        *rows.columns,
+        F.lag("_own").over(inside).alias("_left"),
+        F.lead("_own").over(inside).alias("_right"),
+        *[F.last(c, ignorenulls=True).over(so_far).alias(f"_held_{i}") for i, c in enumerate(carried.values())],
+    )
+    edges = rows.groupBy("_part", *keys).agg(
+        F.min_by("_own", "_pos").alias("_first"),
+        F.max_by("_own", "_pos").alias("_last"),
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_pos"))).alias(f"_tail_{i}") for i, c in enumerate(carried.values())],
+    )
+    # At most one row per partition and key.
+    line = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_part")
+    earlier = line.rowsBetween(Window.unboundedPreceding, -1)
+    met = edges.select(
+        F.col("_part").alias("_at"),
+        *[F.col(k).alias(f"_of_{i}") for i, k in enumerate(keys)],
+        F.lag("_last").over(line).alias("_from"),
+        F.lead("_first").over(line).alias("_to"),
+        *[F.last(f"_tail_{i}", ignorenulls=True).over(earlier).alias(f"_past_{i}") for i in range(len(carried))],
+    )
+    same = placed["_part"] == met["_at"]
+    for i, k in enumerate(keys):
+        same = same & placed[k].eqNullSafe(met[f"_of_{i}"])
+    return placed.join(met, same).select(
+        *[placed[c] for c in df.columns],
+        F.coalesce("_left", "_from").alias(before),
+        F.coalesce("_right", "_to").alias(after),
+        *[F.coalesce(f"_held_{i}", f"_past_{i}").alias(name) for i, name in enumerate(carried)],
+    )

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from swellmark.functions.moments import safe_corr
+from swellmark.operators.ordering import neighbours
 
 
 def _by(keys: Sequence[str]) -> WindowSpec:
@@ -68,8 +69,17 @@ def cumulative_risk(daily: DataFrame, keys: Sequence[str] = (), risk: str = "Ris
     return daily.select(*keys, "day", F.col(risk), F.sum(risk).over(so_far).alias("cumulative_risk"))
 
 
-def daily_returns(daily: DataFrame, keys: Sequence[str] = (), price: str = "close_price") -> DataFrame:
-    """Relative change of the closing price since the last day that has one."""
+def daily_returns(
+    daily: DataFrame, keys: Sequence[str] = (), price: str = "close_price", spread: bool = False
+) -> DataFrame:
+    """Relative change of the closing price since the last day that has one.
+
+    With `spread` a key's rows need not fit a task: its range partitions hand each other their last rows.
+    """
+    if spread:
+        met = neighbours(daily, keys, ["day"], [price])
+        change = F.try_divide(F.col(price), F.col("before")[price]) - 1
+        return met.select(*keys, "day", F.col(price), change.alias("daily_return"))
     before = F.lag(price).over(_by(keys).orderBy("day"))
     return daily.select(
         *keys, "day", F.col(price), (F.try_divide(F.col(price), before) - 1).alias("daily_return")

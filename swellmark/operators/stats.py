@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from swellmark import fixed
 from swellmark.functions.moments import paired, safe_corr
-from swellmark.functions.scalars import hash_uniform, without_nan
+from swellmark.functions.scalars import hash_uniform, text_uniform, without_nan
 from swellmark.operators.ordering import prefix_sum
 
 #: Poisson(1) cumulative probabilities; the weight is how many of them a uniform exceeds.
@@ -103,6 +103,7 @@ def ols_band(
     keys: Sequence[str] | None = None,
     points: int = 100,
     blocks: int = 65_536,
+    portable: bool = False,
 ) -> DataFrame:
     """Bootstrap confidence band of the fitted line on an even grid: (x, lo, hi).
 
@@ -110,11 +111,13 @@ def ols_band(
     reduced to five sums each; a block's weight in a replicate is a Poisson(1)
     draw. Few rows get a block each, which is the plain row bootstrap; many rows
     share blocks at random, which estimates the same spread. So the draws are
-    bounded by blocks x replicates however long the table is.
+    bounded by blocks x replicates however long the table is. With `portable` blocks
+    and draws come from MD5 instead of Spark's own hash: slower, but other engines can draw the same.
     """
     a, b = paired(x, y)
     keys = list(keys or df.columns)
-    block = F.pmod(F.xxhash64(*keys), F.lit(blocks))
+    uniform = text_uniform if portable else hash_uniform
+    block = F.floor(text_uniform(keys, seed, 1) * blocks) if portable else F.pmod(F.xxhash64(*keys), F.lit(blocks))
     complete = df.select(block.alias("_block"), a.alias("_x"), b.alias("_y")).where(
         "_x is not null and _y is not null"
     )
@@ -135,12 +138,11 @@ def ols_band(
             F.sum(F.col("_x") * F.col("_y")).alias("sxy"),
         )
     )
-    u = hash_uniform(["_block", "_rep"], seed)
-    weight = sum(((u > p).cast("int") for p in POISSON_STEPS), F.lit(0))
+    weight = sum(((F.col("_u") > p).cast("int") for p in POISSON_STEPS), F.lit(0))
     sums = (
         sums.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("_rep"))
+        .withColumn("_u", uniform(["_block", "_rep"], seed))
         .withColumn("_w", weight)
-        .where("_w > 0")
         .groupBy("_rep")
         .agg(*[F.sum(F.col("_w") * F.col(m)).alias(m) for m in ("n", "sx", "sy", "sxx", "sxy")])
     )

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from swellmark import fixed
 from swellmark.functions.scalars import hash_normal, rounded, without_nan
+from swellmark.operators.ordering import neighbours
 
 MICROS = {
     "second": 1_000_000,
@@ -104,6 +105,7 @@ def upsample_linear(
     fill: bool = True,
     duplicates: str = "error",
     last_by: str | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """Put each key's series on a regular grid, linear in elapsed time between anchors.
 
@@ -111,6 +113,10 @@ def upsample_linear(
     that holds its last. Inside gaps the value is interpolated, after the last
     anchor it is carried on, before the first one it is null. With `fill=False`
     only grid points that hit an anchor have a value. Output: keys, ts, val.
+
+    A window looks for the next anchor, so a task holds all anchors of a key. With
+    `spread` range partitions do, and hand each other their outermost anchors: for
+    series of many millions of anchors.
     """
     _require_utc(df)
     size = step_micros(step)
@@ -126,22 +132,8 @@ def upsample_linear(
         F.max_by("v", "anchor").alias("last_v"),
     )
 
-    whole = "partition by " + (", ".join(key) or "0")
-    ordered = f"({whole} order by cell)"
-    # Cells without an anchor only stretch the grid; keep one if the key has nothing else.
-    ranged = cells.selectExpr(
-        "*",
-        f"min(cell) over ({whole}) as grid_lo",
-        f"max(cell) over ({whole}) as grid_hi",
-        f"count(first_us) over ({whole}) as n_anchors",
-    ).where("first_us is not null or (n_anchors = 0 and cell = grid_lo)")
-    segments = ranged.selectExpr(
-        "*",
-        f"lead(cell) over {ordered} as next_cell",
-        f"lead(first_us) over {ordered} as next_us",
-        f"lead(first_v) over {ordered} as next_v",
-        f"row_number() over {ordered} = 1 as is_first",
-    ).selectExpr(
+    found = _spread_segments(cells, keys) if spread else _windowed_segments(cells, key)
+    segments = found.selectExpr(
         *key,
         "first_us", "first_v", "last_us", "last_v", "next_us", "next_v",
         # A cell's own edge belongs to it when it is hit exactly, or when nothing comes before.
@@ -159,6 +151,51 @@ def upsample_linear(
     return _grid_points(segments, size).selectExpr(f"{GRID_TIME} as `{ts}`", *key, f"{value} as `{val}`")
 
 
+def _windowed_segments(cells: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Cells with an anchor, the next of them, and the ends of their key's grid."""
+    whole = "partition by " + (", ".join(key) or "0")
+    ordered = f"({whole} order by cell)"
+    # Cells without an anchor only stretch the grid; keep one if the key has nothing else.
+    ranged = cells.selectExpr(
+        "*",
+        f"min(cell) over ({whole}) as grid_lo",
+        f"max(cell) over ({whole}) as grid_hi",
+        f"count(first_us) over ({whole}) as n_anchors",
+    ).where("first_us is not null or (n_anchors = 0 and cell = grid_lo)")
+    return ranged.selectExpr(
+        "*",
+        f"lead(cell) over {ordered} as next_cell",
+        f"lead(first_us) over {ordered} as next_us",
+        f"lead(first_v) over {ordered} as next_v",
+        f"row_number() over {ordered} = 1 as is_first",
+    )
+
+
+def _spread_segments(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """As `_windowed_segments`, without a task that holds a whole key."""
+    totals = cells.groupBy(*keys).agg(
+        F.min("cell").alias("grid_lo"), F.max("cell").alias("grid_hi"), F.count("first_us").alias("n_anchors")
+    )
+    met = neighbours(cells.where("first_us is not null"), keys, ["cell"], ["cell", "first_us", "first_v"])
+    met = met.selectExpr(
+        "*",
+        "after.cell as next_cell", "after.first_us as next_us", "after.first_v as next_v", "before is null as is_first",
+    ).drop("before", "after")
+    same = F.lit(True)
+    ends = totals.toDF(*[f"_of_{i}" for i in range(len(keys))], "grid_lo", "grid_hi", "n_anchors")
+    for i, k in enumerate(keys):
+        same = same & met[k].eqNullSafe(ends[f"_of_{i}"])
+    ranged = met.join(ends, same).drop(*[f"_of_{i}" for i in range(len(keys))])
+    alone = totals.where("n_anchors = 0").selectExpr(
+        *[f"`{k}`" for k in keys],
+        "grid_lo as cell",
+        *[f"cast(null as {cells.schema[c].dataType.simpleString()}) as {c}" for c in ("first_us", "first_v", "last_us", "last_v")],
+        "cast(null as bigint) as next_cell", "cast(null as bigint) as next_us", "cast(null as double) as next_v",
+        "true as is_first", "grid_lo", "grid_hi", "n_anchors",
+    )
+    return ranged.unionByName(alone)
+
+
 def time_spine(df: DataFrame, ts: str = "Date", keys: Sequence[str] = ("Route",), step: str = "1 hour") -> DataFrame:
     """Every grid time from each key's first timestamp to its last."""
     _require_utc(df)

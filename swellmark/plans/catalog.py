@@ -136,11 +136,16 @@ def _corr(x: str, y: str, digits: int = 6) -> str:
     return f"round(CASE WHEN isnan(corr({x}, {y})) THEN NULL ELSE corr({x}, {y}) END, {digits})"
 
 
+def _uniform(text: str) -> str:
+    """A number in (0, 1) from the MD5 of a text."""
+    return f"((CAST('0x' || left(md5({text}), 13) AS BIGINT) + 0.5) / 4503599627370496.0)"
+
+
 def _normal(key: str, seed: int) -> str:
     """A standard normal draw from the MD5 of a text."""
 
     def uniform(stream: int) -> str:
-        return f"((CAST('0x' || left(md5({key} || '|{seed}|{stream}'), 13) AS BIGINT) + 0.5) / 4503599627370496.0)"
+        return _uniform(f"{key} || '|{seed}|{stream}'")
 
     return f"(sqrt(-2.0 * ln({uniform(1)})) * cos(2.0 * pi() * {uniform(2)}))"
 
@@ -785,10 +790,32 @@ def uplift(spark, d):
     return row.select("peak_price", _r("baseline_price", 4), _r("uplift_pct"))
 
 
-@query()
+@query(
+    SHORT
+    + f""", complete AS (
+    SELECT CAST(floor({_uniform("CAST(full_date AS VARCHAR) || '|0|1'")} * 65536) AS BIGINT) AS block,
+           Risk_Score AS x, Price AS y FROM frame WHERE Risk_Score IS NOT NULL AND Price IS NOT NULL),
+  facts AS (SELECT min(x) AS lo, max(x) AS hi, avg(x) AS mean FROM complete),
+  blocks AS (
+    SELECT block, count(*) AS n, sum(x - mean) AS sx, sum(y) AS sy, sum((x - mean) * (x - mean)) AS sxx, sum((x - mean) * y) AS sxy
+    FROM complete, facts GROUP BY 1),
+  draws AS (SELECT *, {_uniform("block || '|' || rep || '|0|0'")} AS u FROM blocks, range(1, 1001) r(rep)),
+  weighted AS (SELECT *, {" + ".join(f"CAST(u > {p!r} AS INTEGER)" for p in stats.POISSON_STEPS)} AS w FROM draws),
+  sums AS (
+    SELECT rep, sum(w * n) AS n, sum(w * sx) AS sx, sum(w * sy) AS sy, sum(w * sxx) AS sxx, sum(w * sxy) AS sxy
+    FROM weighted WHERE w > 0 GROUP BY 1),
+  lines AS (
+    SELECT slope, (sy - slope * sx) / n AS intercept
+    FROM (SELECT *, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS slope FROM sums)),
+  grid AS (SELECT lo + (hi - lo) / 99 * i AS x, mean FROM facts, range(0, 100) t(i))
+  SELECT round(x, 6) AS x, round(quantile_cont(intercept + slope * (x - mean), 0.025), 4) AS lo,
+         round(quantile_cont(intercept + slope * (x - mean), 0.975), 4) AS hi
+  FROM grid, lines GROUP BY x"""
+)
 def ols_band(spark, d):
-    """Bootstrap: no SQL twin, the draws come from Spark's hash."""
-    return stats.ols_band(data.short_frame(spark, d), keys=["full_date"])
+    """Bootstrap with draws from MD5."""
+    band = stats.ols_band(data.short_frame(spark, d), keys=["full_date"], portable=True)
+    return band.select(_r("x"), _r("lo", 4), _r("hi", 4))
 
 
 # --------------------------------------------------------------------------- series

@@ -100,3 +100,13 @@ def cut(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` as Parquet to the shared folder and read it back, for what later jobs scan several times.
+
+    Unlike `cut` it keeps no order, and scans of the copy read only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

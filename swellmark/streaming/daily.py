@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,11 +13,15 @@ from swellmark.operators.gold import join_daily
 DEDUP_SALTS = 16
 
 
-def _watermarked(stream: DataFrame, ts: str, delay: str) -> DataFrame:
-    # Watermarks need a TIMESTAMP; in a UTC session the cast keeps the wall clock.
-    zone = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+def require_utc(spark: SparkSession) -> None:
+    zone = spark.conf.get("spark.sql.session.timeZone")
     if zone.upper() not in ("UTC", "ETC/UTC", "Z", "+00:00"):
         raise ValueError(f"days of a stream are days of UTC; the session's time zone is {zone}")
+
+
+def _watermarked(stream: DataFrame, ts: str, delay: str) -> DataFrame:
+    # Watermarks need a TIMESTAMP; in a UTC session the cast keeps the wall clock.
+    require_utc(stream.sparkSession)
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
