@@ -19,7 +19,7 @@ and per distinct size; neither grows with the number of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.tables import stored
@@ -36,8 +36,6 @@ FITS = 3
 #: Documents ranked together.
 GROUP = 20_000
 
-_KEY = "coalesce(concat('=', source), '')"
-
 
 def mix_sources(
     docs: DataFrame,
@@ -59,46 +57,133 @@ def mix_sources(
     and size gets an extra copy is open. No rows give no rows. Other columns are
     ignored. Reruns agree.
     """
+    sizes, plan = _planned(docs, weights, share, id_col, text_col, source_col)
+    rows = sizes.join(plan, ["key", "size"]).withColumn("h", F.xxhash64("doc_id"))
+    rows = _dealt(rows, ["key", "size"], "extra", ["h", "doc_id"], F.expr(f"pmod(h, greatest(1, n div {GROUP}))"))
+    rows = rows.withColumn("copies", F.col("base") + F.col("more"))
+    return rows.select(
+        "doc_id", "source", "size", "source_size", "target", "rate", "copies",
+        (F.col("copies") * F.col("size")).alias("taken"),
+    )
+
+
+def _size(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text.cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def _key(source: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
+
+
+def _planned(
+    docs: DataFrame, weights: tuple[float, ...], share: float, id_col: str, text_col: str, source_col: str
+) -> tuple[DataFrame, DataFrame]:
+    """Stored sizes of all rows, and by source and size how many copies all get and how many rows get one more."""
     sizes = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
-        .cast("long")
-        .alias("size"),
+        _size(F.col(text_col)).alias("size"),
+        _key(F.col(source_col)).alias("key"),
+        _mark(docs, id_col, text_col).alias("mark"),
     )
-    sizes = stored(sizes.withColumn("key", F.expr(_KEY)), "sizes")
+    sizes = stored(sizes, "sizes")
     cells = stored(sizes.groupBy("key", "source", "size").agg(F.count(F.lit(1)).alias("n")), "cells")
     sources = stored(_targets(cells, weights, share), "sources")
     duals = _balance(cells, sources)
-    plan = stored(_rounded(cells.drop("source"), sources, duals), "plan")
+    return sizes, stored(_rounded(cells.drop("source"), sources, duals), "plan")
 
-    rows = sizes.join(plan, ["key", "size"]).withColumn("h", F.xxhash64("doc_id"))
-    rows = rows.withColumn("group", F.expr(f"pmod(h, greatest(1, n div {GROUP}))"))
-    groups = rows.groupBy("key", "size", "group").agg(F.count(F.lit(1)).alias("here"))
-    before = Window.partitionBy("key", "size").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+
+def _mark(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """A number of the row's id and text: equal only for rows alike in both."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+
+
+def _dealt(rows: DataFrame, cell: list[str], quota: str, order: list[str], group: Column) -> DataFrame:
+    """Add `more`: 1 for the first `quota` rows of each cell by (group, order), else 0.
+
+    Ranks run inside groups, whose counts say where each begins.
+    """
+    rows = rows.withColumn("group", group)
+    groups = rows.groupBy(*cell, "group").agg(F.count(F.lit(1)).alias("here"))
+    before = Window.partitionBy(*cell).orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.withColumn("before", F.coalesce(F.sum("here").over(before), F.lit(0))).drop("here")
-    rows = rows.join(groups, ["key", "size", "group"])
-    place = F.row_number().over(Window.partitionBy("key", "size", "group").orderBy("h", "doc_id"))
-    extra = (place + F.col("before") <= F.col("extra")).cast("int")
-    rows = rows.withColumn("copies", F.col("base") + extra)
-    return rows.select(
-        "doc_id", "source", "size", "source_size", "target", "rate", "copies",
-        (F.col("copies") * F.col("size")).alias("taken"),
-    )
+    rows = rows.join(groups, [*cell, "group"])
+    place = F.row_number().over(Window.partitionBy(*cell, "group").orderBy(*order))
+    return rows.withColumn("more", (place + F.col("before") <= F.col(quota)).cast("int")).drop("group", "before")
 
 
-def mixed_copies(docs: DataFrame, **options) -> DataFrame:
+def mixed_copies(
+    docs: DataFrame,
+    weights: tuple[float, ...] = WEIGHTS,
+    share: float = SHARE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
     """The rows of `docs`, columns as they are, each as often as the mix takes it.
 
-    Rows alike in id, source and size get the same number of copies, the mean of theirs rounded down.
+    By source and size, the rows with the smallest hashes of id and text get the extra copy,
+    as many as `mix_sources` gives one. So what decides is a table by source and size, and
+    texts stay where they are; only rows alike in id and text of which some get the extra copy
+    and some do not are ranked, in groups by input partition.
     """
-    drawn = mix_sources(docs, **options).groupBy("doc_id", "source", "size")
-    drawn = drawn.agg(F.floor(F.avg("copies")).cast("int").alias("_copies")).where("_copies > 0")
-    drawn = drawn.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "_copies")
-    size = F.coalesce(F.regexp_count(docs["text"], F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    same = docs["doc_id"].eqNullSafe(drawn["_id"]) & docs["source"].eqNullSafe(drawn["_source"]) & (size == drawn["_size"])
-    found = docs.join(drawn, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return found.select(*docs.columns)
+    sizes, plan = _planned(docs, weights, share, id_col, text_col, source_col)
+    # How many rows of a cell have smaller marks: running counts over groups of marks, then inside them.
+    marks = sizes.groupBy("key", "size", "mark").agg(F.count(F.lit(1)).alias("alike"))
+    marks = marks.join(plan.where("extra > 0").select("key", "size", "n", "extra"), ["key", "size"])
+    # Signed marks in equal slices, in order.
+    slices = f"greatest(1, n div {GROUP})"
+    marks = marks.withColumn("slice", F.expr(f"cast(floor((mark / 18446744073709551616D + 0.5D) * {slices}) as long)"))
+    held = marks.groupBy("key", "size", "slice").agg(F.sum("alike").alias("here"))
+    earlier = Window.partitionBy("key", "size").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.withColumn("before", F.coalesce(F.sum("here").over(earlier), F.lit(0))).drop("here")
+    line = Window.partitionBy("key", "size", "slice").orderBy("mark").rowsBetween(Window.unboundedPreceding, -1)
+    marks = marks.withColumn("inside", F.coalesce(F.sum("alike").over(line), F.lit(0)))
+    marks = marks.join(held, ["key", "size", "slice"]).withColumn("smaller", F.col("before") + F.col("inside"))
+    # The mark that uses up the cell's extra copies, and how many rows alike in it still get one.
+    last = marks.where("smaller < extra and smaller + alike >= extra")
+    last = last.select("key", "size", F.col("mark").alias("edge"), (F.col("extra") - F.col("smaller")).alias("left"), "alike")
+    cells = stored(plan.select("key", "size", "base").join(last, ["key", "size"], "left"), "copies")
+
+    own = [f"{name}_{_unused(docs)}" for name in ("key", "size", "mark")]
+    names = dict(zip(("key", "size", "mark"), own))
+    marked = docs.select(
+        "*",
+        _key(F.col(source_col)).alias(names["key"]),
+        _size(F.col(text_col)).alias(names["size"]),
+        _mark(docs, id_col, text_col).alias(names["mark"]),
+    )
+    found = F.struct(F.col("base"), F.col("edge"), F.col("left"), F.col("alike"))
+    table = cells.select(F.col("key").alias(names["key"]), F.col("size").alias(names["size"]), found.alias(f"cell_{names['key']}"))
+    # By source and size: Spark sends a small table to all tasks.
+    met = marked.join(table, [names["key"], names["size"]])
+    cell, mark = F.col(f"cell_{names['key']}"), F.col(names["mark"])
+    shared = (mark == cell["edge"]) & (cell["left"] < cell["alike"])
+    plain = met.where(~F.coalesce(shared, F.lit(False)))
+    extra = F.coalesce((mark <= cell["edge"]).cast("int"), F.lit(0))
+    plain = plain.withColumn(names["mark"], cell["base"] + extra)
+    # Rows alike, of which only some get one more.
+    tied = met.where(F.coalesce(shared, F.lit(False))).select(
+        F.struct(*met.columns).alias("row"),
+        *[F.col(names[k]).alias(k) for k in ("key", "size")],
+        cell["left"].alias("quota"),
+        F.spark_partition_id().alias("part"),
+    )
+    dealt = _dealt(tied, ["key", "size"], "quota", ["part"], F.col("part"))
+    own_row = F.col("row")
+    number = own_row[f"cell_{names['key']}"]["base"] + F.col("more")
+    dealt = dealt.select(*[own_row[c].alias(c) for c in docs.columns], number.alias(names["mark"]))
+    both = plain.select(*docs.columns, names["mark"]).unionByName(dealt)
+    copies = F.explode(F.sequence(F.lit(1), F.col(names["mark"])))
+    return both.where(F.col(names["mark"]) > 0).withColumn(names["key"], copies).select(*docs.columns)
+
+
+def _unused(docs: DataFrame) -> str:
+    """A word that no column's name holds."""
+    word = "own"
+    while any(word in name for name in docs.columns):
+        word += "_"
+    return word
 
 
 def _targets(cells: DataFrame, weights: tuple[float, ...], share: float) -> DataFrame:
@@ -158,6 +243,8 @@ def _balance(cells: DataFrame, sources: DataFrame) -> DataFrame:
         state = step.drop("far")
         if step.where("far").limit(1).count() == 0:
             break
+    else:
+        raise RuntimeError(f"sources did not come near their targets in {ITERATIONS} iterations")
     return state.select("key", "mean", "dual")
 
 

@@ -61,6 +61,43 @@ def test_mixing_odd_rows(spark, odd_docs, no_docs):
     assert {(r.target, r.taken, r.copies) for r in mix_sources(empty).collect()} == {(0.0, 0, 1)}
 
 
+def _by_cell(rows, number):
+    out = {}
+    for r, n in zip(rows, number):
+        key = (r["source"], _size(r["text"]))
+        out[key] = out.get(key, 0) + n
+    return {k: n for k, n in out.items() if n}
+
+
+@pytest.mark.parametrize("copies", [1, 2, 7, 40])
+def test_copies_of_repeated_rows_are_dealt_row_by_row(spark, copies):
+    rows = [(1, "one two three", "a")] * copies + [(2, "four five six", "a")] * 2 + [(None, "x y z", "a")] * copies
+    rows += [(i, "word " * (1 + i % 5), "b") for i in range(10, 40)] + [(50, "a b c", "a"), (50, "d e f", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    drawn = mix_sources(docs).join(docs.select("doc_id", "text").distinct().dropDuplicates(["doc_id"]), "doc_id", "left").collect()
+    want = {}
+    for r in drawn:
+        want[(r.source, r.size)] = want.get((r.source, r.size), 0) + r.copies
+    got = mixed_copies(docs).collect()
+    assert _by_cell([r.asDict() for r in got], [1] * len(got)) == {k: n for k, n in want.items() if n}
+    # No row more than twice, and rows alike differ by one at most.
+    for row in set(rows):
+        n = sum((r.doc_id, r.text, r.source) == row for r in got)
+        assert n <= 2 * rows.count(row)
+    assert sorted(map(str, mixed_copies(docs).collect())) == sorted(map(str, got))
+
+
+def test_stages_keep_columns_named_like_their_own(spark):
+    names = ["_doc", "_gone", "_id", "_source", "_size", "_copy", "_copies", "_spans", "key", "size", "mark", "row", "more", "base", "edge",
+             "left", "alike", "quota", "part", "seed", "node", "own", "cell_key_own"]
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(80)
+    docs = docs.select("*", *[docs.doc_id.cast("string").alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF_SMALL)
+        left = docs.collect()
+        assert left and all(r[n] == str(r.doc_id) for r in left for n in names), name
+
+
 def test_stages_hand_on_all_columns(spark, odd_docs, no_docs):
     for frame in (odd_docs, no_docs):
         docs = frame
