@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from llm.encoders import encoder, version
 from llm.tables import stored
 
+#: Contents whose counts a task remembers.
+KNOWN = 100_000
+
 CACHE = "version string, digest binary, n_tokens long"
 
 
@@ -68,8 +71,17 @@ def _cached(spark: SparkSession, cache: str) -> DataFrame:
 def _count(tokenizer: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
+        known: dict[bytes, int] = {}
         for batch in batches:
-            n = [len(own.ids(x.as_py())) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(n, pa.int64())], ["digest", "n_tokens"])
+            # Rows alike in id and content all come here: one of them is encoded.
+            if len(known) > KNOWN:
+                known.clear()
+            digests = batch.column("digest").to_pylist()
+            for digest, text in zip(digests, batch.column("text")):
+                if digest not in known:
+                    known[digest] = len(own.ids(text.as_py()))
+            each = dict.fromkeys(digests)
+            counts = pa.array([known[d] for d in each], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(each, pa.binary()), counts], ["digest", "n_tokens"])
 
     return count
