@@ -101,7 +101,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """
     found = jaccard_components(docs)
     gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    # Merged at every size: what fits a broadcast today may not tomorrow.
+    return docs.join(gone.hint("merge"), docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 def _links(rows: DataFrame, summary: DataFrame, sets: DataFrame) -> DataFrame:
