@@ -1,9 +1,12 @@
 """Substring dedup by collinear chaining of shared k-mer seeds.
 
 Seeds are minimizers: of any 16 consecutive 5-word windows the one with the
-smallest hash, so two texts with 20 equal words in a row share a seed. Each seed
-is joined to its first occurrence only (the smallest document id), so a passage
-in a third of all documents costs one match per occurrence. The matches of two
+smallest hash, so two texts with 20 equal words in a row share a seed. Two seeds that
+follow one another, at their distance, are a seed too. Each seed is joined to its first
+occurrence only (the smallest document id), so a passage in a third of all documents
+costs one match per occurrence. Single seeds of a passage may all have first occurrences
+in different documents, as phrases that many texts use; seeds of two still match in pairs
+with one document, so what repeats word for word is covered. The matches of two
 documents are chained in order, gaps costing a little for each word skipped, by
 a Fenwick tree of best prefixes; chains are aligned word by word and stretched
 beyond their outer seeds. What the aligned parts of a document cover together,
@@ -25,6 +28,12 @@ from llm.tables import stored
 #: Words of a seed, and windows of which one becomes a seed.
 SEED, SPACING = 5, 16
 
+#: A stored place is STEPS times the word's number, plus the words to the second seed for a seed of two.
+STEPS = 32
+
+#: Factors that mix the parts of a seed of two; any odd numbers.
+PAIRED = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+
 #: Words a passage has at least; part of its words that the alignment must match.
 MIN_WORDS, SIMILARITY = 50, 0.8
 
@@ -44,17 +53,21 @@ def find_passages(
     """Passages of `min_words` words or more that a document with a smaller id holds too, wholly or in parts.
 
     `doc_id`, `start_word`, `end_word` (exclusive), `n_words`, `matched` (words that
-    align), `source_ids` (ascending). Words are runs of characters other than 0x20
-    and 0x09-0x0D, compared with A-Z lower-cased. The first document to hold a
+    align), `source_ids` (ascending; without documents whose part lies within that of an
+    earlier one). Words are runs of characters other than 0x20 and 0x09-0x0D, compared with A-Z lower-cased. The first document to hold a
     passage has no row for it; a repeat inside one document is none.
 
+    What repeats word for word over `min_words` + 2 * (SPACING - 1) words is always found, but for SPACING - 1
+    words at its ends at most. Shorter repeats are as a rule: they may be missed if their seeds first occur in
+    documents that hold less of them.
+
     Rows with a null id or text, or fewer words, have no passage. Of repeated rows
     with one id the passages are given once; they are no repeats of each other. No
     rows give no rows. Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.where("doc_id is not null and text is not null")
-    seeds = stored(rows.mapInArrow(_seeds, "seed long, doc long, at int"), "seeds")
+    seeds = stored(rows.mapInArrow(_seeds, "seed long, doc long, at long"), "seeds")
     firsts = seeds.groupBy("seed").agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last"))
     firsts = firsts.where("first.doc < last").select("seed", F.col("first.doc").alias("src"), F.col("first.at").alias("src_at"))
     matches = seeds.join(firsts, "seed").where("doc > src").select("doc", "src", "at", "src_at")
@@ -67,7 +80,7 @@ def find_passages(
     )
     ends = "stack(2, 0, doc, lo, hi, 1, src, src_lo, src_hi) as (side, doc_id, lo, hi)"
     wanted = chains.selectExpr("doc", "src", "chain", ends)
-    cut = wanted.join(rows, "doc_id").mapInArrow(
+    cut = wanted.hint("merge").join(rows, "doc_id").mapInArrow(
         _slices, "doc long, src long, chain int, side int, base int, words binary"
     )
     cut = stored(cut, "slices")
@@ -76,7 +89,7 @@ def find_passages(
     right = cut.where("side = 1").drop("side").toDF(*key, "src_base", "src_words")
     pairs = chains.select(*key, "ats", "src_ats").join(left, key).join(right, key)
     spans = pairs.mapInArrow(_align, "doc long, src long, start int, end int, matched int")
-    spans = stored(spans, "spans").repartition("doc").sortWithinPartitions("doc", "start", "end", "src")
+    spans = stored(spans, "spans").repartition("doc").sortWithinPartitions("doc", "start", F.desc("end"), "src")
     return spans.mapInArrow(
         _passages(min_words),
         "doc_id long, start_word int, end_word int, n_words int, matched int, source_ids array<long>",
@@ -88,12 +101,15 @@ def drop_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Documents of which nothing is left go; all others stay, untouched if they hold no such passage.
     """
-    found = find_passages(docs, min_words=min_words).groupBy(F.col("doc_id").alias("_doc")).agg(
-        F.collect_list(F.struct("start_word", "end_word")).alias("_spans")
+    names, own = docs.columns, "spans"
+    while own in names or f"{own}_of" in names:
+        own += "_"
+    found = find_passages(docs, min_words=min_words).groupBy(F.col("doc_id").alias(f"{own}_of")).agg(
+        F.collect_list(F.struct("start_word", "end_word")).alias(own)
     )
-    joined = docs.join(found, docs["doc_id"] == found["_doc"], "left").drop("_doc")
-    names = docs.columns
-    left = joined.mapInArrow(_without(names), docs.schema)
+    # Merged at every size: a table of spans that fits a broadcast today may not tomorrow.
+    joined = docs.join(found.hint("merge"), docs["doc_id"] == found[f"{own}_of"], "left").drop(f"{own}_of")
+    left = joined.mapInArrow(_without(names, own), docs.schema)
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else left
 
 
@@ -110,10 +126,19 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.flatnonzero(chosen)
             doc = np.searchsorted(bounds, at, "right") - 1
             # The rightmost of several texts that start here is the one with words.
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(windows[at].view(np.int64)), pa.array(ids[lo + doc]), pa.array((at - bounds[doc]).astype(np.int32))],
-                ["seed", "doc", "at"],
-            )
+            place = (at - bounds[doc]) * STEPS
+            # Seeds of two: both hashes and the words between their starts.
+            both = np.flatnonzero(doc[1:] == doc[:-1])
+            step = at[both + 1] - at[both]
+            pair = textbits.mix(
+                windows[at[both]] * PAIRED[0] + windows[at[both + 1]] * PAIRED[1] + step.astype(np.uint64) * PAIRED[2]
+            )
+            columns = (
+                np.concatenate([windows[at], pair]).view(np.int64),
+                np.concatenate([ids[lo + doc], ids[lo + doc[both]]]),
+                np.concatenate([place, place[both] + step]),
+            )
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["seed", "doc", "at"])
 
 
 def minimizers(hashes: np.ndarray) -> np.ndarray:
@@ -148,7 +173,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
 def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc", "src", "chain", "lo", "hi", "src_lo", "src_hi", "ats", "src_ats"]
     for table in _groups(batches, ["doc", "src"]):
-        doc, src, at, src_at = (table.column(c).to_numpy() for c in ("doc", "src", "at", "src_at"))
+        doc, src, at, src_at = _points(*(table.column(c).to_numpy() for c in ("doc", "src", "at", "src_at")))
         cuts = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (src[1:] != src[:-1])]))
         rows = []
         for a, b in zip(cuts, np.append(cuts[1:], len(doc))):
@@ -162,6 +187,19 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
+def _points(doc: np.ndarray, src: np.ndarray, at: np.ndarray, src_at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct matches of single seeds, in order, from matches of stored places."""
+    step, at, src_at = at % STEPS, at // STEPS, src_at // STEPS
+    more = np.flatnonzero(step)
+    doc, src = np.concatenate([doc, doc[more]]), np.concatenate([src, src[more]])
+    at = np.concatenate([at, (at + step)[more]])
+    src_at = np.concatenate([src_at, (src_at + step)[more]])
+    order = np.lexsort((src_at, at, src, doc))
+    rows = np.stack([doc, src, at, src_at])[:, order]
+    fresh = np.concatenate([[True], (rows[:, 1:] != rows[:, :-1]).any(0)])
+    return tuple(rows[:, fresh])
+
+
 def chain(at: np.ndarray, src_at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Chains of two matches or more, ascending in both texts; `at` is ascending.
 
@@ -177,10 +215,11 @@ def chain(at: np.ndarray, src_at: np.ndarray) -> list[tuple[np.ndarray, np.ndarr
     best_score = [-np.inf] * (len(levels) + 1)  # Fenwick tree over places in the source
     best_match = [-1] * (len(levels) + 1)
     score, back = np.zeros(n), np.full(n, -1)
-    waiting: list[int] = []
+    waiting = 0  # the first match that is not in the tree
     for i in range(n):
-        while waiting and at[waiting[0]] < at[i]:
-            j = waiting.pop(0)
+        while waiting < i and at[waiting] < at[i]:
+            j = waiting
+            waiting += 1
             value, k = score[j] + (at[j] + src_at[j]) / REACH, int(rank[j]) + 1
             while k <= len(levels):
                 if value > best_score[k]:
@@ -195,7 +234,6 @@ def chain(at: np.ndarray, src_at: np.ndarray) -> list[tuple[np.ndarray, np.ndarr
         score[i] = 1.0
         if found >= 0 and gain > 0:
             score[i], back[i] = 1.0 + gain, found
-        waiting.append(i)
     used = np.zeros(n, bool)
     out = []
     for end in np.argsort(-score, kind="stable"):
@@ -302,7 +340,12 @@ def _passages(min_words: int):
         names = ["doc_id", "start_word", "end_word", "n_words", "matched", "source_ids"]
         for table in _groups(batches, ["doc"]):
             rows: list[list] = []
+            widest = None  # the part that reaches farthest so far
             for doc, src, start, end, matched in zip(*(table.column(c).to_pylist() for c in ("doc", "src", "start", "end", "matched"))):
+                if widest and widest[0] == doc and end <= widest[1] and src >= widest[2]:
+                    continue  # adds nothing to what an earlier document covers
+                if not widest or widest[0] != doc or end > widest[1]:
+                    widest = (doc, end, src)
                 if rows and rows[-1][0] == doc and start <= rows[-1][2] + JOIN:
                     last = rows[-1]
                     fresh = max(0, end - last[2])
@@ -321,12 +364,12 @@ def _passages(min_words: int):
     return passages
 
 
-def _without(names: list[str]):
+def _without(names: list[str], own: str):
     def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             stay = np.ones(len(batch), bool)
-            for i, spans in enumerate(batch.column("_spans").to_pylist()):
+            for i, spans in enumerate(batch.column(own).to_pylist()):
                 if spans and texts[i]:
                     texts[i] = _cut_words(texts[i], [(s["start_word"], s["end_word"]) for s in spans])
                     stay[i] = bool(texts[i])

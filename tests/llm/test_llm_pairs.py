@@ -153,3 +153,58 @@ def test_align_breaks_at_a_different_stretch():
     a = np.arange(120, dtype=np.uint64)
     b = np.concatenate([a[:40], np.arange(900, 940, dtype=np.uint64), a[80:]])
     assert align(a, b, np.array([5, 20, 90, 110]), np.array([5, 20, 90, 110])) == [(0, 40, 40), (80, 120, 40)]
+
+
+def _words(rng, n):
+    return [f"w{x}" for x in rng.integers(0, 10**9, n)]
+
+
+def _repeated(texts, min_words, margin):
+    """Of each document the words covered by runs of `min_words` words or more that a smaller id's text holds too, less margins."""
+    seen, out = {}, {}
+    for doc in sorted(texts):
+        words = texts[doc]
+        grams = [" ".join(words[i : i + min_words]) for i in range(len(words) - min_words + 1)]
+        out[doc] = {j for i, g in enumerate(grams) if g in seen for j in range(i + margin, i + min_words - margin)}
+        for g in grams:
+            seen.setdefault(g, doc)
+    return out
+
+
+def test_passages_made_of_phrases_that_many_texts_use(spark):
+    rng = np.random.default_rng(12)
+    shared = _words(rng, 80)
+    texts = {500: _words(rng, 60) + shared + _words(rng, 30), 501: _words(rng, 20) + shared + _words(rng, 70)}
+    for i in range(76):
+        texts[i] = _words(rng, 30) + shared[i : i + 5] + _words(rng, 30)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    (row,) = find_passages(df).collect()
+    assert (row.doc_id, row.start_word, row.end_word, row.matched) == (501, 20, 100, 80) and 500 in row.source_ids
+
+
+def test_exact_repeats_are_all_found(spark):
+    rng = np.random.default_rng(13)
+    stock = [_words(rng, 150) for _ in range(8)]
+    phrases = [_words(rng, 6) for _ in range(30)]
+    texts = {}
+    for doc in range(120):
+        words = _words(rng, 40)
+        for _ in range(3):
+            source = stock[rng.integers(8)]
+            a = int(rng.integers(0, 40))
+            words += source[a : a + int(rng.integers(85, 110))] + phrases[rng.integers(30)] + _words(rng, 25)
+        if doc % 4 == 0:  # parts of the stock in texts of their own come before or between
+            a = int(rng.integers(0, 130))
+            words = stock[doc % 8][a : a + 12] + words
+        texts[doc] = words
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = {}
+    for r in find_passages(df).collect():
+        found.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+        assert r.source_ids == sorted(set(r.source_ids)) and max(r.source_ids) < r.doc_id
+    # Up to SPACING - 1 words at either end hold no seed of their own.
+    margin = substring_dedup.SPACING - 1
+    want = _repeated(texts, 50 + 2 * margin, margin)
+    assert sum(map(len, want.values())) > 5000
+    for doc, places in want.items():
+        assert places <= found.get(doc, set()), doc
