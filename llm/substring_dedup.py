@@ -43,6 +43,9 @@ REACH = 64
 #: Words around a chain that the alignment may take in, and words between passages that count as one.
 MARGIN, JOIN = 64, 2
 
+#: Ranges of one text that a task cuts out.
+RANGES = 10_000
+
 #: A stretch between seeds that matches less than half breaks the alignment from so many words on.
 BREAK = 8
 
@@ -74,15 +77,13 @@ def find_passages(
     matches = matches.repartition("doc").sortWithinPartitions("doc", "src", "at", "src_at")
     chains = stored(
         matches.mapInArrow(
-            _chains, "doc long, src long, chain int, lo int, hi int, src_lo int, src_hi int, ats binary, src_ats binary"
+            _chains(min_words), "doc long, src long, chain int, lo int, hi int, src_lo int, src_hi int, ats binary, src_ats binary"
         ),
         "chains",
     )
     ends = "stack(2, 0, doc, lo, hi, 1, src, src_lo, src_hi) as (side, doc_id, lo, hi)"
     wanted = chains.selectExpr("doc", "src", "chain", ends)
-    cut = wanted.hint("merge").join(rows, "doc_id").mapInArrow(
-        _slices, "doc long, src long, chain int, side int, base int, words binary"
-    )
+    cut = _beside_texts(wanted, rows).mapInArrow(_slices, "doc long, src long, chain int, side int, base int, words binary")
     cut = stored(cut, "slices")
     key = ["doc", "src", "chain"]
     left = cut.where("side = 0").drop("side")
@@ -96,6 +97,25 @@ def find_passages(
     )
 
 
+def _beside_texts(wanted: DataFrame, rows: DataFrame) -> DataFrame:
+    """Texts, each followed by the ranges wanted of it, so that a task hashes a text once for all its ranges.
+
+    Of a document many others copy from, ranges are dealt to as many tasks as it takes, each with the text.
+    """
+    hot = wanted.groupBy("doc_id").agg(F.ceil(F.count(F.lit(1)) / RANGES).cast("int").alias("parts")).where("parts > 1")
+    hot = stored(hot, "hot")
+    parts = F.coalesce("parts", F.lit(1))
+    asked = wanted.join(hot, "doc_id", "left").select(
+        "doc_id", F.pmod(F.xxhash64("doc", "src", "chain", "side"), parts).cast("int").alias("part"), F.lit(1).alias("kind"),
+        "doc", "src", "chain", "side", "lo", "hi", F.lit(None).cast("string").alias("text"),
+    )
+    none = [F.lit(None).cast(asked.schema[c].dataType).alias(c) for c in ("doc", "src", "chain", "side", "lo", "hi")]
+    texts = rows.join(hot, "doc_id", "left").select(
+        "doc_id", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("kind"), *none, "text"
+    )
+    return asked.union(texts).repartition("doc_id", "part").sortWithinPartitions("doc_id", "part", "kind")
+
+
 def drop_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """`docs`, columns as they are, without the words of `find_passages`; n_chars, if there, follows the text.
 
@@ -170,34 +190,76 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield carry
 
 
-def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc", "src", "chain", "lo", "hi", "src_lo", "src_hi", "ats", "src_ats"]
-    for table in _groups(batches, ["doc", "src"]):
-        doc, src, at, src_at = _points(*(table.column(c).to_numpy() for c in ("doc", "src", "at", "src_at")))
-        cuts = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (src[1:] != src[:-1])]))
-        rows = []
-        for a, b in zip(cuts, np.append(cuts[1:], len(doc))):
-            for i, (x, y) in enumerate(chain(at[a:b], src_at[a:b])):
-                rows.append(
-                    (doc[a], src[a], i, x[0], x[-1] + SEED, y[0], y[-1] + SEED,
-                     x.astype(np.int32).tobytes(), y.astype(np.int32).tobytes())
-                )
-        if rows:
-            kinds = [pa.int64()] * 2 + [pa.int32()] * 5 + [pa.binary()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-
-
-def _points(doc: np.ndarray, src: np.ndarray, at: np.ndarray, src_at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct matches of single seeds, in order, from matches of stored places."""
+def _chains(min_words: int):
+    def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc", "src", "chain", "lo", "hi", "src_lo", "src_hi", "ats", "src_ats"]
+        for table in _groups(batches, ["doc"]):
+            doc, src, at, src_at = (table.column(c).to_numpy() for c in ("doc", "src", "at", "src_at"))
+            cuts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+            rows = []
+            for a, b in zip(cuts, np.append(cuts[1:], len(doc))):
+                number: dict[int, int] = {}
+                for one, x, y in _document(src[a:b], at[a:b], src_at[a:b], min_words):
+                    number[one] = number.get(one, -1) + 1
+                    rows.append(
+                        (doc[a], one, number[one], x[0], x[-1] + SEED, y[0], y[-1] + SEED,
+                         x.astype(np.int32).tobytes(), y.astype(np.int32).tobytes())
+                    )
+            if rows:
+                kinds = [pa.int64()] * 2 + [pa.int32()] * 5 + [pa.binary()] * 2
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    return chains
+
+
+Chain = tuple[int, np.ndarray, np.ndarray]
+
+
+def _document(src: np.ndarray, at: np.ndarray, src_at: np.ndarray, min_words: int) -> list[Chain]:
+    """The chains (source, places, places in the source) of one document from its matches of stored places.
+
+    Chains of single seeds all count. Seeds of two count where no such chain has both, and only if what
+    chains cover together, whatever their sources, can be a passage.
+    """
     step, at, src_at = at % STEPS, at // STEPS, src_at // STEPS
-    more = np.flatnonzero(step)
-    doc, src = np.concatenate([doc, doc[more]]), np.concatenate([src, src[more]])
-    at = np.concatenate([at, (at + step)[more]])
-    src_at = np.concatenate([src_at, (src_at + step)[more]])
-    order = np.lexsort((src_at, at, src, doc))
-    rows = np.stack([doc, src, at, src_at])[:, order]
+    single = step == 0
+    out = _by_source(src[single], at[single], src_at[single])
+    steps = [x[:-1] * STEPS + np.where((np.diff(x) == np.diff(y)) & (np.diff(x) < STEPS), np.diff(x), 0) for _, x, y in out]
+    pairs = np.flatnonzero(~single & ~np.isin(at * STEPS + step, np.concatenate(steps) if steps else []))
+    more = _by_source(
+        np.concatenate([src[pairs], src[pairs]]),
+        np.concatenate([at[pairs], at[pairs] + step[pairs]]),
+        np.concatenate([src_at[pairs], src_at[pairs] + step[pairs]]),
+    )
+    if not more:
+        return out
+    # What is covered together, whatever the sources.
+    spans = [(int(x[0]), int(x[-1]) + SEED) for _, x, _ in [*out, *more]]
+    order = sorted(range(len(spans)), key=lambda i: spans[i])
+    kept, run, end = set(), [], -1
+    for i in [*order, None]:
+        if i is None or spans[i][0] > end + JOIN:
+            if run and end - spans[run[0]][0] >= min_words:
+                kept.update(run)
+            run, end = [], -1
+        if i is not None:
+            end = max(end, spans[i][1])
+            run.append(i)
+    return out + [chain for i, chain in enumerate(more, len(out)) if i in kept]
+
+
+def _by_source(src: np.ndarray, at: np.ndarray, src_at: np.ndarray) -> list[Chain]:
+    """Chains of distinct matches, source by source."""
+    if not len(src):
+        return []
+    order = np.lexsort((src_at, at, src))
+    rows = np.stack([src, at, src_at])[:, order]
     fresh = np.concatenate([[True], (rows[:, 1:] != rows[:, :-1]).any(0)])
-    return tuple(rows[:, fresh])
+    src, at, src_at = rows[:, fresh]
+    cuts = np.flatnonzero(np.concatenate([[True], src[1:] != src[:-1]]))
+    ends = np.append(cuts[1:], len(src))
+    long = ends - cuts > 1
+    return [(int(src[a]), x, y) for a, b in zip(cuts[long], ends[long]) for x, y in chain(at[a:b], src_at[a:b])]
 
 
 def chain(at: np.ndarray, src_at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -249,21 +311,36 @@ def chain(at: np.ndarray, src_at: np.ndarray) -> list[tuple[np.ndarray, np.ndarr
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The hashed words of a text around a chain, and the number of the first."""
+    """The hashed words of a text around each range wanted of it, and the number of the first."""
+    own, texts = None, []  # the document and part at hand; the hashed words of its texts
     for batch in batches:
-        lows, highs = batch.column("lo").to_numpy(), batch.column("hi").to_numpy()
-        for lo, end, data, offsets in textbits.blocks(batch.column("text")):
-            parts, bases = [], []
-            hashes, _, _, bounds = textbits.words(data, offsets)
-            for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:]), lo):
-                base = max(0, int(lows[i]) - MARGIN)
-                parts.append(hashes[a + base : min(b, a + int(highs[i]) + MARGIN)].tobytes())
+        ids, halves, kinds = (batch.column(c).to_numpy() for c in ("doc_id", "part", "kind"))
+        lows, highs = (batch.column(c).fill_null(0).to_numpy() for c in ("lo", "hi"))
+        rows, parts, bases = [], [], []
+        for i, (doc, part, kind) in enumerate(zip(ids.tolist(), halves.tolist(), kinds.tolist())):
+            if (doc, part) != own:
+                own, texts = (doc, part), []
+            if kind == 0:
+                data = np.frombuffer((batch.column("text")[i].as_py() or "").encode(), np.uint8)
+                texts.append(textbits.words(data, np.array([0, len(data)]))[0])
+                continue
+            base = max(0, int(lows[i]) - MARGIN)
+            for hashes in texts:
+                rows.append(i)
                 bases.append(base)
-            keys = [batch.column(c).slice(lo, end - lo) for c in ("doc", "src", "chain", "side")]
-            yield pa.RecordBatch.from_arrays(
-                [*keys, pa.array(bases, pa.int32()), pa.array(parts, pa.binary())],
-                ["doc", "src", "chain", "side", "base", "words"],
-            )
+                parts.append(hashes[base : int(highs[i]) + MARGIN].tobytes())
+            if len(parts) >= 2000:
+                yield _sliced(batch, rows, bases, parts)
+                rows, parts, bases = [], [], []
+        if parts:
+            yield _sliced(batch, rows, bases, parts)
+
+
+def _sliced(batch: pa.RecordBatch, rows: list[int], bases: list[int], parts: list[bytes]) -> pa.RecordBatch:
+    keys = [batch.column(c).take(pa.array(rows, pa.int64())) for c in ("doc", "src", "chain", "side")]
+    return pa.RecordBatch.from_arrays(
+        [*keys, pa.array(bases, pa.int32()), pa.array(parts, pa.binary())], ["doc", "src", "chain", "side", "base", "words"]
+    )
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -208,3 +208,13 @@ def test_exact_repeats_are_all_found(spark):
     assert sum(map(len, want.values())) > 5000
     for doc, places in want.items():
         assert places <= found.get(doc, set()), doc
+
+
+def test_a_text_many_copy_from_is_dealt_out(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    shared = _words(rng, 70)
+    rows = [(i, " ".join(_words(rng, 10 + i % 3) + shared + _words(rng, 20))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = sorted(map(str, find_passages(df).collect()))
+    monkeypatch.setattr(substring_dedup, "RANGES", 4)
+    assert sorted(map(str, find_passages(df).collect())) == plain and len(plain) == 59
