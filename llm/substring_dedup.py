@@ -2,7 +2,7 @@
 
 Seeds are minimizers: of any 16 consecutive 5-word windows the one with the
 smallest hash, so two texts with 20 equal words in a row share a seed. Two seeds that
-follow one another, at their distance, are a seed too. Each seed is joined to its first
+follow one another and both occur in several documents are, with their distance, a seed too. Each seed is joined to its first
 occurrence only (the smallest document id), so a passage in a third of all documents
 costs one match per occurrence. Single seeds of a passage may all have first occurrences
 in different documents, as phrases that many texts use; seeds of two still match in pairs
@@ -28,7 +28,7 @@ from llm.tables import stored
 #: Words of a seed, and windows of which one becomes a seed.
 SEED, SPACING = 5, 16
 
-#: A stored place is STEPS times the word's number, plus the words to the second seed for a seed of two.
+#: A match's place is STEPS times the word's number, plus the words to the second seed for a seed of two.
 STEPS = 32
 
 #: Factors that mix the parts of a seed of two; any odd numbers.
@@ -71,9 +71,14 @@ def find_passages(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.where("doc_id is not null and text is not null")
     seeds = stored(rows.mapInArrow(_seeds, "seed long, doc long, at long"), "seeds")
-    firsts = seeds.groupBy("seed").agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last"))
-    firsts = firsts.where("first.doc < last").select("seed", F.col("first.doc").alias("src"), F.col("first.at").alias("src_at"))
-    matches = seeds.join(firsts, "seed").where("doc > src").select("doc", "src", "at", "src_at")
+    repeated = stored(_with_firsts(seeds, "seed", "doc", "at", "src", "src_at"), "repeated")
+    word = f"({{}} & {2**32 - 1}) * {STEPS}L"
+    singles = repeated.where("doc > src").selectExpr("doc", "src", f"{word.format('at')} as at", f"{word.format('src_at')} as src_at")
+    # Where both seeds of two occur elsewhere too: few, in texts that repeat little.
+    couples = repeated.select("seed", "doc", "at").repartition("doc").sortWithinPartitions("doc", "at")
+    couples = stored(couples.mapInArrow(_couples, "seed long, doc long, at long"), "couples")
+    couples = _with_firsts(couples, "doc", "at", "src", "src_at").where("doc > src")
+    matches = singles.unionByName(couples)
     matches = matches.repartition("doc").sortWithinPartitions("doc", "src", "at", "src_at")
     chains = stored(
         matches.mapInArrow(
@@ -97,6 +102,13 @@ def find_passages(
     )
 
 
+def _with_firsts(seeds: DataFrame, *columns: str) -> DataFrame:
+    """Seeds that several documents hold, each beside its first occurrence."""
+    firsts = seeds.groupBy("seed").agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last"))
+    firsts = firsts.where("first.doc < last").select("seed", F.col("first.doc").alias("src"), F.col("first.at").alias("src_at"))
+    return seeds.join(firsts, "seed").select(*columns)
+
+
 def _beside_texts(wanted: DataFrame, rows: DataFrame) -> DataFrame:
     """Texts, each followed by the ranges wanted of it, so that a task hashes a text once for all its ranges.
 
@@ -145,20 +157,29 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     chosen[a + minimizers(windows[a : b - SEED + 1])] = True
             at = np.flatnonzero(chosen)
             doc = np.searchsorted(bounds, at, "right") - 1
-            # The rightmost of several texts that start here is the one with words.
-            place = (at - bounds[doc]) * STEPS
-            # Seeds of two: both hashes and the words between their starts.
-            both = np.flatnonzero(doc[1:] == doc[:-1])
-            step = at[both + 1] - at[both]
-            pair = textbits.mix(
-                windows[at[both]] * PAIRED[0] + windows[at[both + 1]] * PAIRED[1] + step.astype(np.uint64) * PAIRED[2]
-            )
-            columns = (
-                np.concatenate([windows[at], pair]).view(np.int64),
-                np.concatenate([ids[lo + doc], ids[lo + doc[both]]]),
-                np.concatenate([place, place[both] + step]),
+            # The rightmost of several texts that start here is the one with words. A place is the
+            # seed's number in its text, above the number of its first word.
+            number = np.arange(len(at)) - np.searchsorted(doc, doc)
+            place = (number << 32) + at - bounds[doc]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(windows[at].view(np.int64)), pa.array(ids[lo + doc]), pa.array(place)], ["seed", "doc", "at"]
             )
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["seed", "doc", "at"])
+
+
+def _couples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Seeds of two: both hashes and the words between their starts, for seeds that follow one another in a text."""
+    for table in _groups(batches, ["doc"]):
+        seed, doc, at = (table.column(c).to_numpy() for c in ("seed", "doc", "at"))
+        step = (at[1:] & 0xFFFFFFFF) - (at[:-1] & 0xFFFFFFFF)
+        both = np.flatnonzero((doc[1:] == doc[:-1]) & ((at[1:] >> 32) == (at[:-1] >> 32) + 1) & (step > 0) & (step < STEPS))
+        step, hashes = step[both], seed.view(np.uint64)
+        mixed = textbits.mix(
+            hashes[both] * PAIRED[0] + hashes[both + 1] * PAIRED[1] + step.astype(np.uint64) * PAIRED[2]
+        )
+        place = (at[both] & 0xFFFFFFFF) * STEPS + step
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(mixed.view(np.int64)), pa.array(doc[both]), pa.array(place)], ["seed", "doc", "at"]
+        )
 
 
 def minimizers(hashes: np.ndarray) -> np.ndarray:
