@@ -40,9 +40,13 @@ MIN_WORDS, SIMILARITY = 50, 0.8
 #: A seed's worth in words skipped on both sides together: longer gaps start a new chain.
 REACH = 64
 
-#: Words around a chain that the alignment may take in, and words between passages that count as one.
+#: Words around a chain that the alignment may take in (around seeds of two SPACING are enough, as the next
+#: ones follow within them), and words between passages that count as one.
 MARGIN, JOIN = 64, 2
 
+#: Pairs of word sequences aligned in one batch; bytes of sequences cut out in one.
+PAIRS, CUT_BYTES = 64, 1 << 22
+
 #: Ranges of one text that a task cuts out.
 RANGES = 10_000
 
@@ -82,12 +86,12 @@ def find_passages(
     matches = matches.repartition("doc").sortWithinPartitions("doc", "src", "at", "src_at")
     chains = stored(
         matches.mapInArrow(
-            _chains(min_words), "doc long, src long, chain int, lo int, hi int, src_lo int, src_hi int, ats binary, src_ats binary"
+            _chains(min_words), "doc long, src long, chain int, margin int, lo int, hi int, src_lo int, src_hi int, ats binary, src_ats binary"
         ),
         "chains",
     )
     ends = "stack(2, 0, doc, lo, hi, 1, src, src_lo, src_hi) as (side, doc_id, lo, hi)"
-    wanted = chains.selectExpr("doc", "src", "chain", ends)
+    wanted = chains.selectExpr("doc", "src", "chain", "margin", ends)
     cut = _beside_texts(wanted, rows).mapInArrow(_slices, "doc long, src long, chain int, side int, base int, words binary")
     cut = stored(cut, "slices")
     key = ["doc", "src", "chain"]
@@ -95,7 +99,8 @@ def find_passages(
     right = cut.where("side = 1").drop("side").toDF(*key, "src_base", "src_words")
     pairs = chains.select(*key, "ats", "src_ats").join(left, key).join(right, key)
     spans = pairs.mapInArrow(_align, "doc long, src long, start int, end int, matched int")
-    spans = stored(spans, "spans").repartition("doc").sortWithinPartitions("doc", "start", F.desc("end"), "src")
+    # Rows that hold the words of two long texts: few at once.
+    spans = stored(spans, "spans", PAIRS).repartition("doc").sortWithinPartitions("doc", "start", F.desc("end"), "src")
     return spans.mapInArrow(
         _passages(min_words),
         "doc_id long, start_word int, end_word int, n_words int, matched int, source_ids array<long>",
@@ -119,9 +124,9 @@ def _beside_texts(wanted: DataFrame, rows: DataFrame) -> DataFrame:
     parts = F.coalesce("parts", F.lit(1))
     asked = wanted.join(hot, "doc_id", "left").select(
         "doc_id", F.pmod(F.xxhash64("doc", "src", "chain", "side"), parts).cast("int").alias("part"), F.lit(1).alias("kind"),
-        "doc", "src", "chain", "side", "lo", "hi", F.lit(None).cast("string").alias("text"),
+        "doc", "src", "chain", "margin", "side", "lo", "hi", F.lit(None).cast("string").alias("text"),
     )
-    none = [F.lit(None).cast(asked.schema[c].dataType).alias(c) for c in ("doc", "src", "chain", "side", "lo", "hi")]
+    none = [F.lit(None).cast(asked.schema[c].dataType).alias(c) for c in ("doc", "src", "chain", "margin", "side", "lo", "hi")]
     texts = rows.join(hot, "doc_id", "left").select(
         "doc_id", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("kind"), *none, "text"
     )
@@ -213,21 +218,22 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
 
 def _chains(min_words: int):
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "src", "chain", "lo", "hi", "src_lo", "src_hi", "ats", "src_ats"]
+        names = ["doc", "src", "chain", "margin", "lo", "hi", "src_lo", "src_hi", "ats", "src_ats"]
         for table in _groups(batches, ["doc"]):
             doc, src, at, src_at = (table.column(c).to_numpy() for c in ("doc", "src", "at", "src_at"))
             cuts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
             rows = []
             for a, b in zip(cuts, np.append(cuts[1:], len(doc))):
                 number: dict[int, int] = {}
-                for one, x, y in _document(src[a:b], at[a:b], src_at[a:b], min_words):
+                singles, couples = _document(src[a:b], at[a:b], src_at[a:b], min_words)
+                for margin, (one, x, y) in [*((MARGIN, c) for c in singles), *((SPACING, c) for c in couples)]:
                     number[one] = number.get(one, -1) + 1
                     rows.append(
-                        (doc[a], one, number[one], x[0], x[-1] + SEED, y[0], y[-1] + SEED,
+                        (doc[a], one, number[one], margin, x[0], x[-1] + SEED, y[0], y[-1] + SEED,
                          x.astype(np.int32).tobytes(), y.astype(np.int32).tobytes())
                     )
             if rows:
-                kinds = [pa.int64()] * 2 + [pa.int32()] * 5 + [pa.binary()] * 2
+                kinds = [pa.int64()] * 2 + [pa.int32()] * 6 + [pa.binary()] * 2
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     return chains
@@ -236,8 +242,8 @@ def _chains(min_words: int):
 Chain = tuple[int, np.ndarray, np.ndarray]
 
 
-def _document(src: np.ndarray, at: np.ndarray, src_at: np.ndarray, min_words: int) -> list[Chain]:
-    """The chains (source, places, places in the source) of one document from its matches of stored places.
+def _document(src: np.ndarray, at: np.ndarray, src_at: np.ndarray, min_words: int) -> tuple[list[Chain], list[Chain]]:
+    """The chains (source, places, places in the source) of one document, of single seeds and of seeds of two.
 
     Chains of single seeds all count. Seeds of two count where no such chain has both, and only if what
     chains cover together, whatever their sources, can be a passage.
@@ -253,7 +259,7 @@ def _document(src: np.ndarray, at: np.ndarray, src_at: np.ndarray, min_words: in
         np.concatenate([src_at[pairs], src_at[pairs] + step[pairs]]),
     )
     if not more:
-        return out
+        return out, []
     # What is covered together, whatever the sources.
     spans = [(int(x[0]), int(x[-1]) + SEED) for _, x, _ in [*out, *more]]
     order = sorted(range(len(spans)), key=lambda i: spans[i])
@@ -266,7 +272,7 @@ def _document(src: np.ndarray, at: np.ndarray, src_at: np.ndarray, min_words: in
         if i is not None:
             end = max(end, spans[i][1])
             run.append(i)
-    return out + [chain for i, chain in enumerate(more, len(out)) if i in kept]
+    return out, [chain for i, chain in enumerate(more, len(out)) if i in kept]
 
 
 def _by_source(src: np.ndarray, at: np.ndarray, src_at: np.ndarray) -> list[Chain]:
@@ -336,8 +342,8 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     own, texts = None, []  # the document and part at hand; the hashed words of its texts
     for batch in batches:
         ids, halves, kinds = (batch.column(c).to_numpy() for c in ("doc_id", "part", "kind"))
-        lows, highs = (batch.column(c).fill_null(0).to_numpy() for c in ("lo", "hi"))
-        rows, parts, bases = [], [], []
+        lows, highs, margins = (batch.column(c).fill_null(0).to_numpy() for c in ("lo", "hi", "margin"))
+        rows, parts, bases, size = [], [], [], 0
         for i, (doc, part, kind) in enumerate(zip(ids.tolist(), halves.tolist(), kinds.tolist())):
             if (doc, part) != own:
                 own, texts = (doc, part), []
@@ -345,14 +351,15 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 data = np.frombuffer((batch.column("text")[i].as_py() or "").encode(), np.uint8)
                 texts.append(textbits.words(data, np.array([0, len(data)]))[0])
                 continue
-            base = max(0, int(lows[i]) - MARGIN)
+            base = max(0, int(lows[i] - margins[i]))
             for hashes in texts:
                 rows.append(i)
                 bases.append(base)
-                parts.append(hashes[base : int(highs[i]) + MARGIN].tobytes())
-            if len(parts) >= 2000:
+                parts.append(hashes[base : int(highs[i] + margins[i])].tobytes())
+                size += len(parts[-1])
+            if size >= CUT_BYTES:
                 yield _sliced(batch, rows, bases, parts)
-                rows, parts, bases = [], [], []
+                rows, parts, bases, size = [], [], [], 0
         if parts:
             yield _sliced(batch, rows, bases, parts)
 
@@ -367,7 +374,7 @@ def _sliced(batch: pa.RecordBatch, rows: list[int], bases: list[int], parts: lis
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for r in (r for at in range(0, len(batch), 100) for r in batch.slice(at, 100).to_pylist()):
+        for r in batch.to_pylist():
             ats, src_ats = np.frombuffer(r["ats"], np.int32) - r["base"], np.frombuffer(r["src_ats"], np.int32) - r["src_base"]
             one, two = np.frombuffer(r["words"], np.uint64), np.frombuffer(r["src_words"], np.uint64)
             if ats[-1] + SEED > len(one) or src_ats[-1] + SEED > len(two):

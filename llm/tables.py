@@ -13,17 +13,17 @@ BATCH = 2000
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, batch: int = BATCH) -> DataFrame:
     """Write `df` as Parquet below spark.checkpoint.dir and read it back.
 
     Later steps see fixed rows with known sizes, and a lost executor costs a
-    re-read instead of the work before. Python workers get at most BATCH rows at
+    re-read instead of the work before. Python workers get at most `batch` rows at
     once meanwhile, since rows here may hold whole texts.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     before = spark.conf.get(_BATCH_ROWS)
-    spark.conf.set(_BATCH_ROWS, str(min(int(before), BATCH) if int(before) > 0 else BATCH))
+    spark.conf.set(_BATCH_ROWS, str(min(int(before), batch) if int(before) > 0 else batch))
     try:
         df.write.parquet(path)
     finally:
