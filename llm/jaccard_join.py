@@ -54,6 +54,9 @@ HOT_BLOCK = 1024
 #: Rounds of stars, and documents of a block of what they leave.
 STARS, TILE = 2, 128
 
+#: Pairs of blocks in one batch.
+TILES = 16
+
 #: Frequency written for the last tier.
 HOT_RANK = 2**32 - 1
 
@@ -134,7 +137,8 @@ def _links(rows: DataFrame, summary: DataFrame, sets: DataFrame) -> DataFrame:
         posts = posts.drop("component", "hub").join(labels, "doc", "left")
         posts = posts.withColumn("component", F.coalesce("component", "doc"))
 
-    return _union([*links, stored(_rest(posts.drop("hub"), prefixes), "links")])
+    # Rows that hold the token lists of two blocks: few at once.
+    return _union([*links, stored(_rest(posts.drop("hub"), prefixes), "links", TILES)])
 
 
 def _rest(posts: DataFrame, prefixes: DataFrame) -> DataFrame:
