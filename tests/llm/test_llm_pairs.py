@@ -155,7 +155,7 @@ def test_align_breaks_at_a_different_stretch():
     assert align(a, b, np.array([5, 20, 90, 110]), np.array([5, 20, 90, 110])) == [(0, 40, 40), (80, 120, 40)]
 
 
-def _words(rng, n):
+def _drawn(rng, n):
     return [f"w{x}" for x in rng.integers(0, 10**9, n)]
 
 
@@ -173,10 +173,10 @@ def _repeated(texts, min_words, margin):
 
 def test_passages_made_of_phrases_that_many_texts_use(spark):
     rng = np.random.default_rng(12)
-    shared = _words(rng, 80)
-    texts = {500: _words(rng, 60) + shared + _words(rng, 30), 501: _words(rng, 20) + shared + _words(rng, 70)}
+    shared = _drawn(rng, 80)
+    texts = {500: _drawn(rng, 60) + shared + _drawn(rng, 30), 501: _drawn(rng, 20) + shared + _drawn(rng, 70)}
     for i in range(76):
-        texts[i] = _words(rng, 30) + shared[i : i + 5] + _words(rng, 30)
+        texts[i] = _drawn(rng, 30) + shared[i : i + 5] + _drawn(rng, 30)
     df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
     (row,) = find_passages(df).collect()
     assert (row.doc_id, row.start_word, row.end_word, row.matched) == (501, 20, 100, 80) and 500 in row.source_ids
@@ -184,15 +184,15 @@ def test_passages_made_of_phrases_that_many_texts_use(spark):
 
 def test_exact_repeats_are_all_found(spark):
     rng = np.random.default_rng(13)
-    stock = [_words(rng, 150) for _ in range(8)]
-    phrases = [_words(rng, 6) for _ in range(30)]
+    stock = [_drawn(rng, 150) for _ in range(8)]
+    phrases = [_drawn(rng, 6) for _ in range(30)]
     texts = {}
     for doc in range(120):
-        words = _words(rng, 40)
+        words = _drawn(rng, 40)
         for _ in range(3):
             source = stock[rng.integers(8)]
             a = int(rng.integers(0, 40))
-            words += source[a : a + int(rng.integers(85, 110))] + phrases[rng.integers(30)] + _words(rng, 25)
+            words += source[a : a + int(rng.integers(85, 110))] + phrases[rng.integers(30)] + _drawn(rng, 25)
         if doc % 4 == 0:  # parts of the stock in texts of their own come before or between
             a = int(rng.integers(0, 130))
             words = stock[doc % 8][a : a + 12] + words
@@ -212,8 +212,8 @@ def test_exact_repeats_are_all_found(spark):
 
 def test_a_text_many_copy_from_is_dealt_out(spark, monkeypatch):
     rng = np.random.default_rng(14)
-    shared = _words(rng, 70)
-    rows = [(i, " ".join(_words(rng, 10 + i % 3) + shared + _words(rng, 20))) for i in range(60)]
+    shared = _drawn(rng, 70)
+    rows = [(i, " ".join(_drawn(rng, 10 + i % 3) + shared + _drawn(rng, 20))) for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     plain = sorted(map(str, find_passages(df).collect()))
     monkeypatch.setattr(substring_dedup, "RANGES", 4)
