@@ -188,3 +188,107 @@ def test_pages_repeated_article_text_stays(spark):
     assert len(got) == 23 and all(r.text == "Same\nSame text on all pages." and r.n_chars == 28 for r in got if r.page_id is not None and r.page_id < 20)
     assert {r.text for r in got if r.page_id in (50, None)} == {""}
     assert extract_pages(df.limit(0)).count() == 0 and html_text.page_text(html)
+
+
+def _plain_extract(pages):
+    """Template removal by strings and per-host lists: [(host, xml)] of unmarked pages without classes that say anything."""
+    import xml.etree.ElementTree as ET
+    from collections import defaultdict
+
+    blocks, kept = {"div", "section", "p", "table"}, {"p"}
+
+    def words(node):
+        return [w for w in ((node.text or "").strip(), *(x for c in node for x in (*words(c), (c.tail or "").strip()))) if w]
+
+    def length(node):
+        return sum(len(w) for w in words(node))
+
+    def shape(node):
+        return f"({node.tag}.{node.get('class')}{sorted({shape(c) for c in node})})"
+
+    def content(node):
+        return f"[{node.tag} {(node.text or '').strip()} {[content(c) for c in node]}]"
+
+    def found(body, node, place=""):
+        for child in node:
+            same = [c for c in node if (c.tag, c.get("class")) == (child.tag, child.get("class"))]
+            here = f"{place}/{child.tag}.{child.get('class')}"
+            if child.tag in blocks and length(child) and 2 * length(child) <= length(body):
+                yield child, content(child), None
+                if child.tag not in kept and len(same) == 1:
+                    yield child, here + shape(child), length(child)
+            yield from found(body, child, here)
+
+    hosts = defaultdict(dict)
+    for host, source in pages:
+        body = ET.fromstring(source)
+        hosts[host][source] = (length(body), {k: n for _, k, n in found(body, body)})
+    templates = {}
+    for host, listed in hosts.items():
+        for key in {k for _, keys in listed.values() for k in keys}:
+            on = [(total, keys[key] or 0) for total, keys in listed.values() if key in keys]
+            if len(on) >= 4 and len(on) >= 0.2 * len(listed) and 6 * sum(n for _, n in on) <= sum(t for t, _ in on):
+                templates.setdefault(host, set()).add(key)
+    texts = []
+    for host, source in pages:
+        body = ET.fromstring(source)
+        gone = {id(c) for c, k, _ in found(body, body) if k in templates.get(host, ())}
+
+        def lines(node):
+            return [x for c in node if id(c) not in gone for x in ([c.text] if c.text else []) + lines(c)]
+
+        texts.append("\n".join(lines(body)))
+    return texts, templates
+
+
+def test_templates_as_by_brute_force(spark):
+    rng = np.random.default_rng(5)
+
+    def block(depth):
+        tag = rng.choice(["div", "section", "p", "p"]) if depth < 3 else "p"
+        if tag == "p":
+            shared = rng.random() < 0.3
+            return f"<p>{'shared ' + str(rng.integers(6)) if shared else 'own ' + str(rng.integers(10**12))}</p>"
+        name = rng.choice(["", ' class="x"', ' class="y"'])
+        return f"<{tag}{name}>{''.join(block(depth + 1) for _ in range(rng.integers(1, 4)))}</{tag}>"
+
+    pages = []
+    for i in range(120):
+        slot = f"<section><p>w{rng.integers(10**6)}</p></section>"
+        pages.append((f"h{i % 5}.org", f"<body>{slot}{''.join(block(0) for _ in range(rng.integers(2, 7)))}</body>"))
+    pages += pages[:7]
+    rows = [(i, f"http://{host}/{i}", source, "", "") for i, (host, source) in enumerate(pages)]
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, PAGES)).collect()}
+    expected, templates = _plain_extract(pages)
+    assert len(templates) == 5 and sum(k.startswith("/section") for keys in templates.values() for k in keys) >= 1
+    assert [got[i] for i in range(len(pages))] == expected
+
+
+def test_slots_with_other_words_go(spark):
+    rows = []
+    for i in range(10):
+        own = "".join(f"<p>Paragraph {j} of page {i} with words of its own.</p>" for j in range(3 + i % 3))
+        rows.append((i, f"http://n.org/{i}", f"<body><div class=top{i}>Tip {i * 7919}</div><div class=text>{own}</div><div class=foot>Seen {i * 31} times</div></body>", "", ""))
+    got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(got[i] == "\n".join(f"Paragraph {j} of page {i} with words of its own." for j in range(3 + i % 3)) for i in range(10))
+
+
+def test_articles_stay_whatever_their_class():
+    assert page_text('<article class="post category-privacy tag-ads"><p>one</p></article>') == "one"
+    assert page_text('<div id="content" class="no-sidebar has-comments"><p>one</p></div>') == "one"
+    assert page_text('<article><p class="search">a</p><section class="related"><p>b</p></section><p>c <math>d</math></p></article>') == "a\nb\nc d"
+    assert page_text('<article><p>a long enough text</p><section class="related"><a href="/">b</a></section></article>') == "a long enough text"
+    assert page_text("<article><p>short</p><div class=comments><p>many words of the readers of this</p></div></article>") == "short"
+
+
+def test_pages_broken_markup_and_time():
+    import time
+
+    assert page_text("<p title=it's>one</p><p>mid</p><p title=he's>two</p>") == "one\nmid\ntwo"
+    assert page_text("<p>a < b</p><p>1 <2</p>") == "a < b\n1 <2" and page_text("x <!-- y") == "x" and page_text("a <b") == "a <b"
+    assert page_text("<p data-a='>' data-b=\">\">one<!-->two<br/>three") == "onetwo three"
+    n = 1 << 15
+    for source in ("<a " * 8 * n, "<b>" * n + "</i>" * n, "<b>" * n + "<hr>" * n, "<li><ul>" + "<div>" * n + "<li></li>" * n, '<a x="' * n, "<!--" * n, "<a b=" * n + ">", "<article>" * n):
+        start = time.process_time()
+        page_text(source)
+        assert time.process_time() - start < 15
