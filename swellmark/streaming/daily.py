@@ -80,14 +80,15 @@ def stream_gold(
     def store(batch: DataFrame, _epoch: int) -> None:
         # A few closed days: one row with their range lets the price scan skip all other days.
         days = batch.persist()
-        lo, hi = days.agg(F.min("event_date"), F.max("event_date")).first()
-        if lo is None:
+        try:
+            lo, hi = days.agg(F.min("event_date"), F.max("event_date")).first()
+            if lo is None:
+                return
+            prices = rates.where(F.to_date("Date").between(F.lit(lo), F.lit(hi)))
+            gold = join_daily(prices, days, keep_route).withColumn("event_date", F.to_date("full_date"))
+            gold.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
+        finally:
             days.unpersist()
-            return
-        prices = rates.where(F.to_date("Date").between(F.lit(lo), F.lit(hi)))
-        gold = join_daily(prices, days, keep_route).withColumn("event_date", F.to_date("full_date"))
-        gold.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
-        days.unpersist()
 
     return (
         stream_daily(stream, delay, ts)
