@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD_BREAK = r"[^\p{L}]+"
@@ -23,9 +23,14 @@ def with_lexicon_tone(
     no shuffle. The word lists are arguments, hence small.
     """
     good, bad = sorted(positive), sorted(negative)
-    words = docs.select("*", F.filter(F.split(F.lower(text), WORD_BREAK), lambda w: w != "").alias("_words"))
-    balance = F.size(F.filter("_words", lambda w: w.isin(good))) - F.size(F.filter("_words", lambda w: w.isin(bad)))
-    return words.withColumn(name, F.try_divide(F.lit(100.0) * balance, F.size("_words"))).drop("_words")
+    words = F.filter(F.split(F.lower(text), WORD_BREAK), lambda w: w != "")
+
+    def tone(found: Column) -> Column:
+        balance = F.size(F.filter(found, lambda w: w.isin(good))) - F.size(F.filter(found, lambda w: w.isin(bad)))
+        return F.try_divide(F.lit(100.0) * balance, F.size(found))
+
+    # An array of one names the words: a filter on the tone, pushed to the scan, would cut a text anew for each use of them.
+    return docs.withColumn(name, F.get(F.transform(F.array(words), tone), F.lit(0)))
 
 
 def lexicon_tone(

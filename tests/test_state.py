@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from swellmark import schemas
 from swellmark.operators import cleaning, phrases
+from swellmark.operators.tone import WORD_BREAK, with_lexicon_tone
 from swellmark.session import scratch_path
 from swellmark.sources.commits import CommitLog, IdLedger, Taken
 from swellmark.sources.exports import csv_fields, read_exports_by_line, read_raw_exports
@@ -68,6 +69,39 @@ def test_a_long_list_of_phrases_stays_a_join(spark):
     assert phrases.find_phrases(docs, table).count() == 400
 
 
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_runs_of_texts_stay_in_place_for_a_list_that_fits(spark, monkeypatch):
+    docs = spark.createDataFrame([*TEXTS, (None, "Red sea")], "doc_id int, text string")
+    table = spark.createDataFrame([(p,) for p in PHRASES], "phrase string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed = phrases.find_phrases(docs, table)
+        assert "hashpartitioning(run" not in _plan(placed)
+        got = {tuple(r) for r in placed.collect()}
+        monkeypatch.setattr(phrases, "INDEX_BYTES", 0)
+        shuffled = phrases.find_phrases(docs, table)
+        assert "hashpartitioning(run" in _plan(shuffled)
+        assert got == {tuple(r) for r in shuffled.collect()} and (None, "red sea", 1) in got
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_tone_is_judged_once(spark):
+    path = scratch_path(spark, "test-tone")
+    spark.createDataFrame(TEXTS, "doc_id int, text string").dropDuplicates(["doc_id"]).write.parquet(path)
+    docs = with_lexicon_tone(spark.read.parquet(path), ["tag"], ["sea"])
+    assert docs.where("Tone < 0")._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 2  # filter, column
+    table = spark.createDataFrame([(p,) for p in PHRASES], "phrase string")
+    matched = phrases.match_phrases(docs, table, max_tone=0.0)
+    assert WORD_BREAK not in _plan(matched)  # later passes read the texts that were kept
+    want = {r.doc_id for r in docs.where("Tone < 0").collect()}
+    assert want and {r.doc_id for r in matched.collect()} == want & {r.doc_id for r in phrases.find_phrases(docs, table).collect()}
+
+
 # --------------------------------------------------------------------------- footers
 
 
